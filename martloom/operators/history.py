@@ -6,12 +6,13 @@ they are passed on as they are.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.context import RunContext, audit_stamp
 
-ACTIVE = F.col("is_active").eqNullSafe("Y")
+def active() -> Column:
+    return F.col("is_active").eqNullSafe("Y")
 
 
 def stage_keys(stage: DataFrame, key: str) -> DataFrame:
@@ -21,7 +22,7 @@ def stage_keys(stage: DataFrame, key: str) -> DataFrame:
 def closing_rows(history: DataFrame, stage: DataFrame, key: str, run: RunContext, stamp_exec: bool) -> DataFrame:
     """The active rows whose key is staged again, as they look once closed."""
     keys = stage_keys(stage, key)
-    hit = history.filter(ACTIVE).join(keys, F.col(key) == F.col("_stage_key"), "left_semi")
+    hit = history.filter(active()).join(keys, F.col(key) == F.col("_stage_key"), "left_semi")
     changes = {"is_active": F.lit("N"), "updated_ts": run.timestamp}
     if stamp_exec:
         changes["updated_by_job_exec_id"] = run.executor
@@ -30,13 +31,13 @@ def closing_rows(history: DataFrame, stage: DataFrame, key: str, run: RunContext
 
 def staying_rows(history: DataFrame, stage: DataFrame, key: str) -> DataFrame:
     """The active rows whose key is not staged again."""
-    return history.filter(ACTIVE).join(stage_keys(stage, key), F.col(key) == F.col("_stage_key"), "left_anti")
+    return history.filter(active()).join(stage_keys(stage, key), F.col(key) == F.col("_stage_key"), "left_anti")
 
 
 def close_history(history: DataFrame, stage: DataFrame, key: str, run: RunContext, stamp_exec: bool = False) -> DataFrame:
     """The whole history with the staged keys closed; one join over the active rows only."""
     keys = stage_keys(stage, key)
-    joined = history.filter(ACTIVE).join(keys, F.col(key) == F.col("_stage_key"), "left")
+    joined = history.filter(active()).join(keys, F.col(key) == F.col("_stage_key"), "left")
     hit = F.col("_stage_key").isNotNull()
     changes = {
         "is_active": F.when(hit, F.lit("N")).otherwise(F.col("is_active")),
@@ -44,8 +45,8 @@ def close_history(history: DataFrame, stage: DataFrame, key: str, run: RunContex
     }
     if stamp_exec:
         changes["updated_by_job_exec_id"] = F.when(hit, run.executor).otherwise(F.col("updated_by_job_exec_id"))
-    active = joined.withColumns(changes).select(history.columns)
-    return history.filter(~ACTIVE).unionByName(active)
+    still_or_closed = joined.withColumns(changes).select(history.columns)
+    return history.filter(~active()).unionByName(still_or_closed)
 
 
 def new_rows(history: DataFrame, stage: DataFrame, run: RunContext) -> DataFrame:

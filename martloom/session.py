@@ -46,6 +46,11 @@ def partitions_for(total_bytes: int, expansion: float = 3.0) -> int:
     return min(wanted, MAX_SHUFFLE_PARTITIONS)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+
+
 def input_bytes(spark: SparkSession, paths: Iterable[str]) -> int:
     """Total file size under ``paths``; one metadata call per path, no data is read."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()

@@ -9,25 +9,22 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.context import RunContext
 from martloom.operators import history as H
+from martloom.session import path_exists
 
 BOOKMARK_SCHEMA = "seq bigint, value string, exec_id bigint"
 COMMIT_SCHEMA = "version bigint, exec_id bigint, removed_exec_id bigint, token string"
 
 
 def _read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(schema).json(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def _append_log(spark: SparkSession, path: str, schema: str, row: tuple) -> None:
