@@ -73,10 +73,10 @@ JOIN {parents('BRND', False)} s ON s.prod_grp_id_child = b.prod_grp_id
 JOIN (SELECT x.prod_grp_id, x.cntry_cd, x.dialect_nm, MAX(x.lst_pblsh_dt) AS lst_pblsh_dt
       FROM in_group_translations x JOIN in_groups y ON y.prod_grp_id = x.prod_grp_id AND y.grp_prps_cd = 'BRND'
       GROUP BY ALL) g ON g.prod_grp_id = s.prod_grp_id_prnt AND g.cntry_cd = t.cntry_cd
-LEFT JOIN in_params m ON m.cntry_cd = t.cntry_cd AND m.grp_prps_cd = s.grp_prps_cd
-LEFT JOIN in_group_translations d
+JOIN in_params m ON m.cntry_cd = t.cntry_cd AND m.grp_prps_cd = s.grp_prps_cd
+JOIN in_group_translations d
   ON d.prod_grp_id = s.prod_grp_id_prnt AND d.cntry_cd = t.cntry_cd AND d.dialect_nm = m.dialect_nm
-WHERE p.prod_typ IN ('COMPETITOR', 'OWN') AND d.dialect_nm = m.dialect_nm
+WHERE p.prod_typ IN ('COMPETITOR', 'OWN')
   AND (p.lst_pblsh_dt > {SINCE} OR b.lst_pblsh_dt > {SINCE} OR g.lst_pblsh_dt > {SINCE} OR t.lst_pblsh_dt > {SINCE})"""
 
 FEED = f"({SAMPLE} UNION ALL {MARKET} UNION ALL {BRAND})"
