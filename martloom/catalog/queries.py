@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.catalog.inputs import GIVEN, Inputs
-from martloom.context import RunContext, audit_stamp
+from martloom.context import AUDIT_FIELDS, RunContext, audit_stamp
 from martloom.functions import dates, text
 from martloom.operators import history as H
 from martloom.operators import pick
@@ -126,15 +126,6 @@ def history_rows(i: Inputs) -> DataFrame:
     )
 
 
-HISTORY_TAIL = [
-    T.StructField("is_active", T.StringType()),
-    T.StructField("created_ts", T.TimestampType()),
-    T.StructField("updated_ts", T.TimestampType()),
-    T.StructField("created_by_job_exec_id", T.LongType()),
-    T.StructField("updated_by_job_exec_id", T.LongType()),
-]
-
-
 # Sources and sinks
 
 
@@ -581,7 +572,7 @@ def incremental_run(i: Inputs) -> DataFrame:
             F.col("Owner_Master_Id_MERC__c").alias("owner_id"), F.col("Id").alias("meeting_id")
         )
 
-    schema = T.StructType([T.StructField("owner_id", T.StringType()), T.StructField("meeting_id", T.StringType()), *HISTORY_TAIL])
+    schema = T.StructType([T.StructField("owner_id", T.StringType()), T.StructField("meeting_id", T.StringType()), *AUDIT_FIELDS])
     job = IncrementalJob(
         extract=extract,
         bookmark=Bookmark(i.spark, f"{base}/bookmark"),
@@ -617,7 +608,7 @@ def stream_landing(i: Inputs) -> DataFrame:
 @query("stream_history")
 def stream_history_batches(i: Inputs) -> DataFrame:
     base = scratch_path(i.spark, "stream")
-    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("payload", T.StringType()), *HISTORY_TAIL])
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("payload", T.StringType()), *AUDIT_FIELDS])
     table = HistoryTable(i.spark, f"{base}/history", schema, "k")
     orders = i.given("orders").select(F.col("o_custkey").alias("k"), F.col("o_orderpriority").alias("payload"))
     table.publish(orders, RUN, token="start")

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Parquet decodes to a multiple of its file size; count it so before a side is broadcast.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     # Split a hot join partition even where a later operator could have reused the partitioning.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }

@@ -21,14 +21,25 @@ BOOKMARK_SCHEMA = "seq bigint, value string, exec_id bigint"
 COMMIT_SCHEMA = "version bigint, exec_id bigint, removed_exec_id bigint, token string"
 
 
-def _read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def _schema(ddl: str) -> T.StructType:
+    return T.StructType.fromDDL(ddl)
+
+
+def _literal_rows(spark: SparkSession, schema: T.StructType, row: tuple | None) -> DataFrame:
+    """One row, or none, without a trip through Python workers."""
+    values = row or (None,) * len(schema)
+    columns = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, schema.fields, strict=True)]
+    return spark.range(1 if row else 0, numPartitions=1).select(columns)
+
+
+def _read_log(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     if path_exists(spark, path):
-        return spark.read.schema(schema).json(path)
-    return spark.createDataFrame([], schema)
+        return spark.read.schema(ddl).json(path)
+    return _literal_rows(spark, _schema(ddl), None)
 
 
-def _append_log(spark: SparkSession, path: str, schema: str, row: tuple) -> None:
-    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").json(path)
+def _append_log(spark: SparkSession, path: str, ddl: str, row: tuple) -> None:
+    _literal_rows(spark, _schema(ddl), row).write.mode("append").json(path)
 
 
 @dataclass(frozen=True)
@@ -51,6 +62,13 @@ class Bookmark:
         _append_log(self.spark, self.path, BOOKMARK_SCHEMA, ((last["seq"] + 1) if last else 1, value, exec_id))
 
 
+@dataclass(frozen=True)
+class _State:
+    version: int
+    has_removals: bool
+    published: bool
+
+
 @dataclass(frozen=True)
 class HistoryTable:
     """``apply_history`` kept on disk, at the cost of the active rows and the new ones only."""
@@ -64,22 +82,29 @@ class HistoryTable:
     def _commits(self) -> DataFrame:
         return _read_log(self.spark, f"{self.path}/commits", COMMIT_SCHEMA)
 
-    def version(self) -> int:
-        return self._commits().agg(F.max("version").alias("v")).head()["v"] or 0
-
-    def _active(self, version: int) -> DataFrame:
-        if version == 0:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/active/v={version}")
+    def _state(self, token: str | None = None, exec_id: int | None = None) -> _State:
+        """What the commit log says, in one small job."""
+        publication = F.col("token").eqNullSafe(F.lit(token))
+        concerned = publication | F.col("removed_exec_id").eqNullSafe(F.lit(exec_id).cast("bigint"))
+        row = (
+            self._commits()
+            .agg(
+                F.coalesce(F.max("version"), F.lit(0)).alias("version"),
+                F.count("removed_exec_id").alias("removals"),
+                F.max(F.when(concerned, F.struct("version", publication.alias("published")))).alias("last"),
+            )
+            .head()
+        )
+        published = token is not None and row["last"] is not None and row["last"]["published"]
+        return _State(row["version"], row["removals"] > 0, published)
 
-    def _closed(self, version: int) -> DataFrame:
-        if version == 0:
-            return self.spark.createDataFrame([], self.schema).withColumn("v", F.lit(0).cast("bigint"))
-        stored = T.StructType([*self.schema.fields, T.StructField("v", T.LongType())])
-        return self.spark.read.schema(stored).parquet(f"{self.path}/closed").filter(F.col("v") <= version)
+    def version(self) -> int:
+        return self._state().version
 
-    def _without_removed(self, rows: DataFrame) -> DataFrame:
+    def _without_removed(self, rows: DataFrame, state: _State) -> DataFrame:
         """Leave out rows of rolled-back runs; ``v`` says which version wrote the row."""
+        if not state.has_removals:
+            return rows.drop("v")
         removed = (
             self._commits()
             .filter(F.col("removed_exec_id").isNotNull())
@@ -89,32 +114,38 @@ class HistoryTable:
         gone = (rows["created_by_job_exec_id"] == removed["removed_exec_id"]) & (rows["v"] < removed["removed_at"])
         return rows.join(removed, gone, "left_anti").drop("v")
 
+    def _active(self, state: _State) -> DataFrame:
+        if state.version == 0:
+            return _literal_rows(self.spark, self.schema, None)
+        rows = self.spark.read.schema(self.schema).parquet(f"{self.path}/active/v={state.version}")
+        return self._without_removed(rows.withColumn("v", F.lit(state.version).cast("bigint")), state)
+
+    def _closed(self, state: _State) -> DataFrame:
+        if state.version == 0:
+            return _literal_rows(self.spark, self.schema, None)
+        stored = T.StructType([*self.schema.fields, T.StructField("v", T.LongType())])
+        rows = self.spark.read.schema(stored).parquet(f"{self.path}/closed").filter(F.col("v") <= state.version)
+        return self._without_removed(rows, state)
+
     def read(self) -> DataFrame:
-        version = self.version()
-        active = self._without_removed(self._active(version).withColumn("v", F.lit(version).cast("bigint")))
-        return active.unionByName(self._without_removed(self._closed(version)))
+        state = self._state()
+        return self._active(state).unionByName(self._closed(state))
 
     def _write(self, rows: DataFrame, part: str, version: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self.path}/{part}/v={version}")
 
-    def _is_published(self, token: str, exec_id: int) -> bool:
-        """Whether the last thing that happened to ``token`` was its publication, not its rollback."""
-        publication = F.col("token").eqNullSafe(token)
-        seen = self._commits().filter(publication | F.col("removed_exec_id").eqNullSafe(F.lit(exec_id)))
-        last = seen.agg(F.max(F.struct("version", publication.alias("published"))).alias("last")).head()["last"]
-        return bool(last and last["published"])
-
     def publish(self, stage: DataFrame, run: RunContext, token: str | None = None) -> int:
         """Close the staged keys and append the staged rows as one new version.
 
         A run that fails before the commit leaves the previous version in place, and its retry
-        overwrites what it had written. A ``token`` that is published already is not published again.
+        overwrites what it had written. A ``token`` that is published already is not published
+        again, unless the run was rolled back since.
         """
-        version = self.version()
-        if token and self._is_published(token, run.exec_id):
-            return version
-        following = version + 1
-        active = self._without_removed(self._active(version).withColumn("v", F.lit(version).cast("bigint")))
+        state = self._state(token, run.exec_id)
+        if state.published:
+            return state.version
+        following = state.version + 1
+        active = self._active(state)
         self._write(H.closing_rows(active, stage, self.key, run, self.stamp_exec), "closed", following)
         kept = H.staying_rows(active, stage, self.key)
         self._write(kept.unionByName(H.new_rows(active, stage, run)), "active", following)
@@ -123,11 +154,10 @@ class HistoryTable:
 
     def rollback(self, exec_id: int) -> int:
         """Take the rows of one run out. Nothing is rewritten but the active rows."""
-        version = self.version()
-        if version == 0:
-            return version
-        following = version + 1
-        active = self._without_removed(self._active(version).withColumn("v", F.lit(version).cast("bigint")))
-        self._write(H.rollback_history(active, exec_id), "active", following)
+        state = self._state()
+        if state.version == 0:
+            return 0
+        following = state.version + 1
+        self._write(H.rollback_history(self._active(state), exec_id), "active", following)
         _append_log(self.spark, f"{self.path}/commits", COMMIT_SCHEMA, (following, exec_id, exec_id, None))
         return following
