@@ -5,8 +5,9 @@ Tables, by the names the plans use:
 ``translations``, ``alternates``, ``group_translations``, ``params``, ``replicated_groups``,
 ``replicated_products``.
 
-A feed first joins the narrow link tables on product *and* country and takes the wide master rows
-last, so that those are shuffled once.
+A feed first joins the narrow link tables on product *and* country and takes the master rows last.
+Staging goes further: feeds, lookups and the pick carry only the master columns they need, and the
+rest of the master joins the rows that were chosen.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from martloom.operators.incremental import changed_since
 from martloom.operators.lookup import expand_with_parameters, group_parents, lookup
 from martloom.operators.pick import bridge_maxima, first_per_key, max_per_key
 from martloom.operators.schema import project
-from martloom.plans.columns import FEED_LINKS, PRODUCT_FEED, PRODUCT_MASTER, STAGED_PRODUCT
+from martloom.plans.columns import FEED_LINKS, PRODUCT_MASTER, STAGED_PRODUCT
 
 Tables = Mapping[str, DataFrame]
 
@@ -42,6 +43,12 @@ PICK_ORDER = (
     "cease_pblsh_dt",
 )
 
+ROW_KEY = ["_replicated_id", "product_external_id"]
+
+# Master columns that filters and dates depend on; together they are the key back to the master row.
+MASTER_USED = ("prod_typ", "lst_pblsh_dt", "start_dt", "end_dt", "cease_pblsh_dt")
+MASTER_KEY = "_master_key"
+
 
 def _bridge(t: Tables) -> DataFrame:
     return bridge_maxima(t["links"], t["groups"]).select(
@@ -65,11 +72,15 @@ def _alternate_and_translated(t: Tables) -> DataFrame:
 
 
 def _with_master(t: Tables, narrow: DataFrame, types: Sequence[str], published: Sequence[str], since: str) -> DataFrame:
-    """Master rows of the wanted types for each link row, if any of the involved rows changed."""
-    master = t["prod"].select(PRODUCT_MASTER).filter(F.col("prod_typ").isin(list(types)))
+    """Master rows of the wanted types for each link row, if any of the involved rows changed.
+
+    The feed has those master columns that ``prod`` has.
+    """
+    columns = [c for c in t["prod"].columns if c in (*PRODUCT_MASTER, MASTER_KEY)]
+    master = t["prod"].select(columns).filter(F.col("prod_typ").isin(list(types)))
     joined = master.join(narrow, "prod_id")
     changed = changed_since([F.col("lst_pblsh_dt"), *[F.col(c) for c in published]], since)
-    return joined.filter(changed).select(PRODUCT_FEED)
+    return joined.filter(changed).select([*columns, *FEED_LINKS])
 
 
 def sample_feed(t: Tables, since: str, types: Sequence[str] = SAMPLE_TYPES) -> DataFrame:
@@ -256,14 +267,40 @@ def candidates(feed: DataFrame, t: Tables) -> DataFrame:
     """One row per external id, reconciled, with the replicated id where there is one."""
     df = reconcile_dates(add_lookups(expand_feed(feed, t["params"]), t))
     df = df.withColumn("product_external_id", product_external_id())
-    wanted = [c for c in STAGED_PRODUCT if c != "product_external_id"]
+    staged = [c for c in df.columns if c in STAGED_PRODUCT or c == MASTER_KEY]
     df = lookup(
-        df.select("product_external_id", *wanted),
+        df.select(staged),
         t["replicated_products"].withColumn("_id", F.col("product_external_id")),
         {"prod_id": "prod_id", "cntry_cd": "cntry_cd", "product_external_id": "product_external_id"},
         {"_id": "_replicated_id"},
     )
-    return first_per_key(df, ["_replicated_id", "product_external_id"], PICK_ORDER)
+    return first_per_key(df, ROW_KEY, PICK_ORDER)
+
+
+def _with_master_key(master: DataFrame) -> DataFrame:
+    return master.withColumn(MASTER_KEY, F.struct(*MASTER_USED))
+
+
+def narrow_master(master: DataFrame) -> DataFrame:
+    """The master columns that decide about a row, and the same once more as the key back to it."""
+    return _with_master_key(master).select("prod_id", *MASTER_USED, MASTER_KEY)
+
+
+def add_master(chosen: DataFrame, master: DataFrame) -> DataFrame:
+    """The other master columns of the chosen rows.
+
+    Master rows of one product that agree in everything that decided so far give several rows here;
+    the pick goes on over the columns that were added, as if it had seen them in the first place.
+    """
+    rest = [c for c in PRODUCT_MASTER if c != "prod_id" and c not in chosen.columns]
+    found = lookup(
+        chosen,
+        _with_master_key(master),
+        {"prod_id": "prod_id", MASTER_KEY: MASTER_KEY},
+        {c: c for c in rest},
+        how="inner",
+    )
+    return first_per_key(found.drop(MASTER_KEY), ROW_KEY, PICK_ORDER)
 
 
 def product_feed(t: Tables, since: str, own_type: str, run: RunContext) -> DataFrame:
@@ -273,9 +310,11 @@ def product_feed(t: Tables, since: str, own_type: str, run: RunContext) -> DataF
     or country, because only one of them was found among the replicated products.
     """
     types = (COMPETITOR, own_type)
-    feed = union_feeds([sample_feed(t, since), market_feed(t, since, types), brand_feed(t, since, types)])
+    master = t["prod"].select(PRODUCT_MASTER)
+    narrow = {**t, "prod": narrow_master(master)}
+    feed = union_feeds(
+        [sample_feed(narrow, since), market_feed(narrow, since, types), brand_feed(narrow, since, types)]
+    )
     chosen = candidates(feed, t).filter(eligible(run.as_of_date))
-    return audit_stamp(project(chosen, STAGED_PRODUCT), run)
-
-
-__all__ = ["FEED_LINKS", "PICK_ORDER", "brand_feed", "market_feed", "product_feed", "sample_feed"]
+    wanted = master.filter(F.col("prod_typ").isin([*SAMPLE_TYPES, *types]))
+    return audit_stamp(project(add_master(chosen, wanted), STAGED_PRODUCT), run)

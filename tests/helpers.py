@@ -18,3 +18,20 @@ def planned(df) -> str:
 
 def count_nodes(plan: str, name: str) -> int:
     return len(re.findall(rf"\b{name}\b", plan))
+
+
+def _children(node):
+    children = node.children()
+    return [children.apply(i) for i in range(children.size())]
+
+
+def exchange_columns(df) -> list[list[str]]:
+    """Output columns of every shuffle in the plan before adaptive changes."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan().initialPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Exchange":
+            output = node.output()
+            found.append([output.apply(i).name() for i in range(output.size())])
+        todo.extend(_children(node))
+    return found

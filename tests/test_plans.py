@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import planned
+from helpers import exchange_columns, planned
 from martloom.catalog.inputs import Inputs
 from martloom.catalog.queries import FEED_TYPES, SINCE, product_tables
 from martloom.context import RunContext
@@ -311,3 +311,22 @@ def test_group_ids_are_double(spark):
     ids = writeback.group_ids(df)
     assert ids.schema["prod_grp_id_glbl__c"].dataType.simpleString() == "double"
     assert sorted((r["prod_grp_id_glbl__c"] for r in ids.collect()), key=str) == [1.0, None]
+
+
+def test_repeated_master_rows_are_picked_over_all_columns(spark, tables, rows):
+    """Late master columns give the row that a pick over whole rows gives."""
+    twins = [product(1, brnd_cd=b, mtrl_nbr=m, lst=lst) for b, m, lst in (("b", "1", NEW), ("a", "2", NEW), ("a", "1", NEW), ("A", "0", OLD))]
+    t = {**tables, "prod": master(spark, *twins)}
+    staged = products.product_feed(t, SINCE, "OWN", RUN)
+    whole = products.candidates(products.sample_feed(t, SINCE), t).filter(products.eligible(RUN.as_of_date))
+    assert rows(staged, "prod_id__c", "brnd_cd__c", "mtrl_nbr__c", "lst_pblsh_dt__c") == [(1, "a", "1", NEW)]
+    assert rows(whole, "prod_id", "brnd_cd", "mtrl_nbr", "lst_pblsh_dt") == [(1, "a", "1", NEW)]
+
+
+def test_staging_shuffles_whole_master_rows_only_at_the_end(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    inputs = Inputs(spark, "/root/testdata/sf0.001")
+    shuffles = exchange_columns(products.product_feed(product_tables(inputs), SINCE, "OWN", RUN))
+    assert len(shuffles) > 40
+    assert sum("mtrl_nbr" in columns for columns in shuffles) == 1, "the master side of the last join"
+    assert sum("min" in columns for columns in shuffles) == 2, "the pick over narrow rows and the one over joined rows"
