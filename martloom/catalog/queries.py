@@ -16,7 +16,7 @@ from martloom.operators import history as H
 from martloom.operators import pick
 from martloom.operators.incremental import changed_since, window_rows
 from martloom.operators.lookup import group_parents, lookup, lookup_with_fallback
-from martloom.operators.schema import all_text, enforce_schema
+from martloom.operators.schema import all_text, enforce_schema, schema_of_codes
 from martloom.plans import columns as C
 from martloom.plans import exports, groups, indications, products, spend, writeback
 from martloom.plans.replicate import bulk_replicate
@@ -144,19 +144,17 @@ def typed_scan(i: Inputs) -> DataFrame:
             "l_returnflag",
         )
     )
-    schema = T.StructType(
-        [
-            T.StructField("l_shipdate", T.DateType()),
-            T.StructField("l_orderkey", T.LongType()),
-            T.StructField("l_partkey", T.IntegerType()),
-            T.StructField("l_linenumber", T.ShortType()),
-            T.StructField("l_quantity", T.DoubleType()),
-            T.StructField("l_extendedprice", T.DecimalType(14, 6)),
-            T.StructField("l_returnflag", T.StringType()),
-            T.StructField("l_comment", T.StringType()),
-        ]
-    )
-    return enforce_schema(landed, schema)
+    codes = {
+        "l_shipdate": 1082,
+        "l_orderkey": 20,
+        "l_partkey": 23,
+        "l_linenumber": 21,
+        "l_quantity": 701,
+        "l_extendedprice": 1700,
+        "l_returnflag": 1043,
+        "l_comment": 25,
+    }
+    return enforce_schema(landed, schema_of_codes(codes))
 
 
 @query("landing_json")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.context import RunContext, audit_stamp
 
@@ -19,21 +20,6 @@ def stage_keys(stage: DataFrame, key: str) -> DataFrame:
     return stage.select(F.col(key).alias("_stage_key")).filter(F.col("_stage_key").isNotNull()).distinct()
 
 
-def closing_rows(history: DataFrame, stage: DataFrame, key: str, run: RunContext, stamp_exec: bool) -> DataFrame:
-    """The active rows whose key is staged again, as they look once closed."""
-    keys = stage_keys(stage, key)
-    hit = history.filter(active()).join(keys, F.col(key) == F.col("_stage_key"), "left_semi")
-    changes = {"is_active": F.lit("N"), "updated_ts": run.timestamp}
-    if stamp_exec:
-        changes["updated_by_job_exec_id"] = run.executor
-    return hit.withColumns(changes).select(history.columns)
-
-
-def staying_rows(history: DataFrame, stage: DataFrame, key: str) -> DataFrame:
-    """The active rows whose key is not staged again."""
-    return history.filter(active()).join(stage_keys(stage, key), F.col(key) == F.col("_stage_key"), "left_anti")
-
-
 def close_history(history: DataFrame, stage: DataFrame, key: str, run: RunContext, stamp_exec: bool = False) -> DataFrame:
     """The whole history with the staged keys closed; one join over the active rows only."""
     keys = stage_keys(stage, key)
@@ -49,21 +35,21 @@ def close_history(history: DataFrame, stage: DataFrame, key: str, run: RunContex
     return history.filter(~active()).unionByName(still_or_closed)
 
 
-def new_rows(history: DataFrame, stage: DataFrame, run: RunContext) -> DataFrame:
+def new_rows(schema: T.StructType, stage: DataFrame, run: RunContext) -> DataFrame:
     """Every staged row as an active history row; history columns the stage lacks are null."""
     stamped = audit_stamp(stage, run)
     have = {c.lower() for c in stamped.columns}
     return stamped.select(
         [
-            F.col(f.name) if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in history.schema.fields
+            (F.col(f.name) if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema.fields
         ]
     )
 
 
 def apply_history(history: DataFrame, stage: DataFrame, key: str, run: RunContext, stamp_exec: bool = False) -> DataFrame:
     """Close the staged keys, then append every staged row. Unchanged rows are not detected."""
-    return close_history(history, stage, key, run, stamp_exec).unionByName(new_rows(history, stage, run))
+    return close_history(history, stage, key, run, stamp_exec).unionByName(new_rows(history.schema, stage, run))
 
 
 def rollback_history(history: DataFrame, exec_id: int) -> DataFrame:

@@ -9,6 +9,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# PostgreSQL type codes. Numbers keep their fraction; unknown codes are read as text.
+TYPE_OF_CODE = {
+    16: T.BooleanType(),
+    17: T.BinaryType(),
+    20: T.LongType(),
+    21: T.ShortType(),
+    23: T.IntegerType(),
+    25: T.StringType(),
+    700: T.FloatType(),
+    701: T.DoubleType(),
+    1043: T.StringType(),
+    1082: T.DateType(),
+    1114: T.TimestampType(),
+    1184: T.TimestampType(),
+    1700: T.DecimalType(14, 6),
+}
+
+
+def schema_of_codes(columns: Mapping[str, int]) -> T.StructType:
+    """The schema of a query result described by PostgreSQL type codes."""
+    return T.StructType([T.StructField(name, TYPE_OF_CODE.get(code, T.StringType())) for name, code in columns.items()])
+
+
 def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project onto ``schema``: its order, names and types.
 

@@ -1,15 +1,15 @@
 """State that outlives a run: bookmarks and the versioned history table.
 
-Both are ordinary datasets in a shared folder. A bookmark is a log that is only appended to. The
-history keeps closed rows in segments that are written once, and rewrites the active rows per run;
-a reader sees a version only after its number is in the commit log.
+Both are ordinary datasets in a shared folder that are only appended to. A run costs what it stages,
+however long the history is: it adds its rows and the list of their keys, and a reader derives from
+the key lists which rows are closed. A version counts only once its number is in the commit log.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,7 +71,7 @@ class _State:
 
 @dataclass(frozen=True)
 class HistoryTable:
-    """``apply_history`` kept on disk, at the cost of the active rows and the new ones only."""
+    """``apply_history`` over all published stages, kept as one segment per run."""
 
     spark: SparkSession
     path: str
@@ -101,41 +101,67 @@ class HistoryTable:
     def version(self) -> int:
         return self._state().version
 
-    def _without_removed(self, rows: DataFrame, state: _State) -> DataFrame:
-        """Leave out rows of rolled-back runs; ``v`` says which version wrote the row."""
-        if not state.has_removals:
-            return rows.drop("v")
+    def _part(self, part: str, schema: T.StructType, state: _State) -> DataFrame:
+        """Committed segments of one part, with the version ``v`` that wrote each row."""
+        stored = T.StructType([*schema.fields, T.StructField("v", T.LongType())])
+        if state.version == 0:
+            return _literal_rows(self.spark, stored, None)
+        return self.spark.read.schema(stored).parquet(f"{self.path}/{part}").filter(F.col("v") <= state.version)
+
+    def _without_removed(self, rows: DataFrame) -> DataFrame:
+        """Leave out what rolled-back runs had created before they were rolled back."""
         removed = (
             self._commits()
             .filter(F.col("removed_exec_id").isNotNull())
-            .groupBy(F.col("removed_exec_id"))
+            .groupBy("removed_exec_id")
             .agg(F.max("version").alias("removed_at"))
         )
         gone = (rows["created_by_job_exec_id"] == removed["removed_exec_id"]) & (rows["v"] < removed["removed_at"])
-        return rows.join(removed, gone, "left_anti").drop("v")
-
-    def _active(self, state: _State) -> DataFrame:
-        if state.version == 0:
-            return _literal_rows(self.spark, self.schema, None)
-        rows = self.spark.read.schema(self.schema).parquet(f"{self.path}/active/v={state.version}")
-        return self._without_removed(rows.withColumn("v", F.lit(state.version).cast("bigint")), state)
-
-    def _closed(self, state: _State) -> DataFrame:
-        if state.version == 0:
-            return _literal_rows(self.spark, self.schema, None)
-        stored = T.StructType([*self.schema.fields, T.StructField("v", T.LongType())])
-        rows = self.spark.read.schema(stored).parquet(f"{self.path}/closed").filter(F.col("v") <= state.version)
-        return self._without_removed(rows, state)
+        return rows.join(removed, gone, "left_anti")
 
     def read(self) -> DataFrame:
+        """The history as of the last commit: a row is closed by the next version that has its key.
+
+        A key is listed once per version, so the window sees at most as many rows of it as there
+        were runs, and the join is on key and version.
+        """
         state = self._state()
-        return self._active(state).unionByName(self._closed(state))
+        rows = self._part("rows", self.schema, state)
+        if state.has_removals:
+            rows = self._without_removed(rows)
+        by_version = Window.partitionBy("_key").orderBy("v")
+        following = self._part("keys", self._key_schema(), state).select(
+            "_key",
+            F.col("v").alias("_v"),
+            F.lead("closed_ts").over(by_version).alias("_closed_ts"),
+            F.lead("closed_by").over(by_version).alias("_closed_by"),
+        )
+        joined = rows.join(following, (rows[self.key] == following["_key"]) & (rows["v"] == following["_v"]), "left")
+        hit = H.active() & F.col("_closed_ts").isNotNull()
+        changes = {
+            "is_active": F.when(hit, F.lit("N")).otherwise(F.col("is_active")),
+            "updated_ts": F.when(hit, F.col("_closed_ts")).otherwise(F.col("updated_ts")),
+        }
+        if self.stamp_exec:
+            changes["updated_by_job_exec_id"] = F.when(hit, F.col("_closed_by")).otherwise(
+                F.col("updated_by_job_exec_id")
+            )
+        return joined.withColumns(changes).select([f.name for f in self.schema.fields])
+
+    def _key_schema(self) -> T.StructType:
+        return T.StructType(
+            [
+                T.StructField("_key", self.schema[self.key].dataType),
+                T.StructField("closed_ts", T.TimestampType()),
+                T.StructField("closed_by", T.LongType()),
+            ]
+        )
 
     def _write(self, rows: DataFrame, part: str, version: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self.path}/{part}/v={version}")
 
     def publish(self, stage: DataFrame, run: RunContext, token: str | None = None) -> int:
-        """Close the staged keys and append the staged rows as one new version.
+        """Append the staged rows as one version, which closes the older rows of their keys.
 
         A run that fails before the commit leaves the previous version in place, and its retry
         overwrites what it had written. A ``token`` that is published already is not published
@@ -145,19 +171,31 @@ class HistoryTable:
         if state.published:
             return state.version
         following = state.version + 1
-        active = self._active(state)
-        self._write(H.closing_rows(active, stage, self.key, run, self.stamp_exec), "closed", following)
-        kept = H.staying_rows(active, stage, self.key)
-        self._write(kept.unionByName(H.new_rows(active, stage, run)), "active", following)
+        self._add_segment(following, H.new_rows(self.schema, stage, run), run.timestamp, run.executor)
         _append_log(self.spark, f"{self.path}/commits", COMMIT_SCHEMA, (following, run.exec_id, None, token))
         return following
 
+    def seed(self, history: DataFrame) -> int:
+        """Take over an existing history as the first version, closed rows and all."""
+        if self.version():
+            raise ValueError("only an empty history can be seeded")
+        never = F.lit(None)
+        self._add_segment(1, history.select([f.name for f in self.schema.fields]), never, never)
+        _append_log(self.spark, f"{self.path}/commits", COMMIT_SCHEMA, (1, None, None, None))
+        return 1
+
+    def _add_segment(self, version: int, rows: DataFrame, closed_ts: Column, closed_by: Column) -> None:
+        self._write(rows, "rows", version)
+        keys = H.stage_keys(rows, self.key).select(
+            F.col("_stage_key").alias("_key"),
+            closed_ts.cast("timestamp").alias("closed_ts"),
+            closed_by.cast("bigint").alias("closed_by"),
+        )
+        self._write(keys, "keys", version)
+
     def rollback(self, exec_id: int) -> int:
-        """Take the rows of one run out. Nothing is rewritten but the active rows."""
-        state = self._state()
-        if state.version == 0:
-            return 0
-        following = state.version + 1
-        self._write(H.rollback_history(self._active(state), exec_id), "active", following)
-        _append_log(self.spark, f"{self.path}/commits", COMMIT_SCHEMA, (following, exec_id, exec_id, None))
+        """Take out the rows one run created. Rows it closed stay closed. Only the log is written."""
+        following = self.version() + 1
+        if following > 1:
+            _append_log(self.spark, f"{self.path}/commits", COMMIT_SCHEMA, (following, exec_id, exec_id, None))
         return following

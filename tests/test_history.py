@@ -64,7 +64,7 @@ def test_rollback_does_not_reopen(history, stage, rows):
 def test_columns_the_stage_lacks_are_null(spark, history):
     wider = history.withColumn("extra", F.lit(1).cast("int"))
     stage = spark.createDataFrame([("z", "p")], "K string, payload string")
-    added = H.new_rows(wider, stage, FIRST).head()
+    added = H.new_rows(wider.schema, stage, FIRST).head()
     assert (added["k"], added["extra"], added["is_active"]) == ("z", None, "Y")
 
 
@@ -98,8 +98,8 @@ def test_table_rollback_then_same_run_again(spark, table, stage, rows):
 def test_uncommitted_version_is_not_read(spark, table, stage, rows):
     table.publish(stage, FIRST)
     before = rows(table.read())
-    table._write(table.read().limit(1), "closed", 2)
-    table._write(table.read().limit(1), "active", 2)
+    table._write(H.new_rows(SCHEMA, stage, SECOND), "rows", 2)
+    table._write(spark.createDataFrame([("c", OLD, 1)], "_key string, closed_ts timestamp, closed_by bigint"), "keys", 2)
     assert table.version() == 1
     assert rows(table.read()) == before
     table.publish(stage.filter("k = 'c'"), SECOND)
@@ -145,3 +145,33 @@ def test_bookmark_moves_only_after_a_whole_run(spark, stage):
     runner.run(spark, "2", SECOND)
     assert seen == [("0", "1"), ("1", "2")]
     assert runner.history.read().filter("is_active = 'Y' and k = 'a'").count() == 2
+
+
+def test_publishing_reads_no_history(spark, table, stage, monkeypatch):
+    """A run costs what it stages, however long the history is."""
+    table.publish(stage, FIRST)
+    monkeypatch.setattr(HistoryTable, "_part", lambda *args: pytest.fail("the history was read"))
+    assert table.publish(stage, SECOND) == 2
+
+
+def test_hot_key_over_many_versions(spark, table, rows):
+    expected = spark.createDataFrame([], SCHEMA)
+    for number in range(5):
+        run = RunContext(datetime(2024, 2, 1 + number), 20 + number)
+        step = spark.range(300).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % (50 + number))).alias("k"),
+            F.col("id").cast("string").alias("payload"),
+        )
+        table.publish(step, run)
+        expected = H.apply_history(expected, step, "k", run)
+    assert rows(table.read()) == rows(expected)
+    assert table.read().filter("k = 'hot' and is_active = 'Y'").count() == 100
+
+
+def test_seeded_history_goes_on(table, history, stage, rows):
+    table.seed(history)
+    assert rows(table.read()) == rows(history)
+    table.publish(stage, FIRST)
+    assert rows(table.read()) == rows(H.apply_history(history, stage, "k", FIRST))
+    with pytest.raises(ValueError):
+        table.seed(history)

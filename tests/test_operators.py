@@ -8,7 +8,7 @@ from helpers import count_nodes, executed_plan, planned
 from martloom.operators import pick
 from martloom.operators.incremental import changed_since, in_window
 from martloom.operators.lookup import expand_with_parameters, group_parents, lookup, lookup_with_fallback
-from martloom.operators.schema import enforce_schema, lower_names, project, renamed
+from martloom.operators.schema import enforce_schema, lower_names, project, renamed, schema_of_codes
 from martloom.operators.unpivot import unpivot_lines
 
 
@@ -209,6 +209,11 @@ def test_enforce_schema(spark):
     assert enforce_schema(df.limit(0), schema).schema.simpleString() == schema.simpleString()
 
 
+def test_schema_of_codes():
+    schema = schema_of_codes({"a": 1700, "b": 20, "c": 1184, "d": 424242})
+    assert schema.simpleString() == "struct<a:decimal(14,6),b:bigint,c:timestamp,d:string>"
+
+
 def test_names(spark):
     df = spark.createDataFrame([(1, 2, 3)], "A int, b int, C int")
     assert lower_names(df).columns == ["a", "b", "c"]
