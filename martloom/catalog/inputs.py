@@ -177,9 +177,10 @@ SELECT pid || '-D' || CAST(i AS STRING) AS Id, pid AS Meeting_Participant_MERC__
        CASE i WHEN 0 THEN NULL ELSE {_money('l_tax')} END AS Est_Food_Bev_ToV_MERC__c,
        {_money('l_quantity + 1')} AS Est_Reg_Amt_ToV_MERC__c,
        CASE l_linenumber WHEN 1 THEN '150000000.25' ELSE NULL END AS Est_Indv_Transfer_MERC__c
-FROM (SELECT 'P' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) AS pid,
+FROM (SELECT CASE l_linenumber WHEN 4 THEN 'unknown-' ELSE 'P' END || CAST(l_orderkey AS STRING) || '-'
+               || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) AS pid,
              l_linenumber, l_shipdate, l_extendedprice, l_quantity, l_tax, EACH_2 AS i
-      FROM lineitem WHERE l_linenumber <> 4) x"""
+      FROM lineitem) x"""
 
 INPUTS["in_group_source"] = f"""
 SELECT 1000000 + o_custkey AS prod_grp_id, 'SRC' AS src_cd, 'Group ' || CAST(o_custkey AS STRING) AS grp_nm,

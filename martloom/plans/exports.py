@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions import dates, text
-from martloom.operators.schema import all_text
 from martloom.plans import columns as C
 from martloom.plans.groups import GLOBAL
 
@@ -62,4 +61,4 @@ def export_indication(staged: DataFrame) -> DataFrame:
             value = text.marked(value)
         return (text.short_name(value) if exported == "Name" else value).alias(exported)
 
-    return all_text(staged.select([shaped(e, c) for e, c in C.EXPORT_INDICATION_NAMES.items()]))
+    return staged.select([shaped(e, c) for e, c in C.EXPORT_INDICATION_NAMES.items()])

@@ -10,6 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martloom.context import RunContext
 from martloom.operators.schema import renamed
@@ -60,6 +61,9 @@ PLAN_NAMES = {
     },
 }
 
+# Ids that come back as text or floating-point numbers; what is no number matches nothing.
+WHOLE_NUMBERS = {"replicated_groups": "prod_grp_id", "replicated_products": "prod_id"}
+
 Names = Mapping[str, str]
 LoadSince = Callable[[str], DataFrame]
 
@@ -74,8 +78,15 @@ class Places:
 
 
 def load_bundle(spark: SparkSession, source: Folder | Database, tables: Names, names: Names | None) -> dict[str, DataFrame]:
+    """The tables of a job under the table and column names the plans use."""
     loaded = read_tables(spark, source, {**tables, **(names or {})})
-    return {name: renamed(df, PLAN_NAMES.get(name, {})) for name, df in loaded.items()}
+    bundle = {name: renamed(df, PLAN_NAMES.get(name, {})) for name, df in loaded.items()}
+    for name in WHOLE_NUMBERS.keys() & bundle.keys():
+        column = WHOLE_NUMBERS[name]
+        if column in bundle[name].columns:
+            whole = F.col(column).try_cast("double").try_cast("bigint")
+            bundle[name] = bundle[name].withColumn(column, whole)
+    return bundle
 
 
 def _run(

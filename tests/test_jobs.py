@@ -92,3 +92,12 @@ def test_spend_jobs(spark, inputs, places, rows):
         assert found.count() == as_text.count() > 1000
         assert found.exceptAll(as_text).count() == 0
     assert Bookmark(spark, f"{places.state}/bookmark/spend_event_stage").read("") == Q.UNTIL
+
+
+def test_written_back_ids_are_numbers(spark, places):
+    ids = spark.createDataFrame([("S1", "12.0", "1C1"), ("S2", "x", "2C1")], "SFDC_ID string, PROD_ID_GLBL__C string, PRODUCT_EXTERNAL_ID__C string")
+    write_stage(ids, places.source, "ids")
+    bundle = jobs.load_bundle(spark, places.source, {"replicated_products": "replaced below"}, {"replicated_products": "ids"})
+    found = bundle["replicated_products"]
+    assert found.columns == ["sfdc_id", "prod_id", "product_external_id"]
+    assert {r["sfdc_id"]: r["prod_id"] for r in found.collect()} == {"S1": 12, "S2": None}
