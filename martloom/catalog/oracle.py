@@ -483,6 +483,7 @@ BODIES["product_feed"] = plain(
     f"SELECT {', '.join(f'{old} AS {new}' for old, new in C.STAGED_PRODUCT.items())}, {AUDIT} FROM {PICKED} c",
     "start_dt__c end_dt__c crt_dt__c updt_dt__c lst_lot_exprtn_dt__c lst_pblsh_dt__c cease_pblsh_dt__c",
 )
+BODIES["product_feed_touched"] = BODIES["product_feed"]
 BODIES["group_global"] = plain(f"SELECT * FROM {GLOBAL_ROWS} g", GROUP_DATES)
 BODIES["group_country"] = plain(f"SELECT * FROM {COUNTRY_ROWS} g", GROUP_DATES)
 BODIES["group_global_synth"] = plain(f"SELECT * FROM {SYNTHESISED} g", GROUP_DATES)

@@ -447,6 +447,15 @@ def product_feed(i: Inputs) -> DataFrame:
     return products.product_feed(product_tables(i), SINCE, OWN, RUN)
 
 
+@query("product_feed_touched")
+def product_feed_touched(i: Inputs) -> DataFrame:
+    t = product_tables(i)
+    stored = scratch_path(i.spark, "touched")
+    products.touched_products(t, SINCE).write.parquet(stored)
+    touched = i.spark.read.schema("prod_id bigint").parquet(stored)
+    return products.product_feed(products.restrict(t, touched), SINCE, OWN, RUN)
+
+
 @query("group_global")
 def group_global(i: Inputs) -> DataFrame:
     return groups.global_rows(groups.route(i["in_group_source"])[0], i["in_source_translations"])

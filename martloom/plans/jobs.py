@@ -17,6 +17,7 @@ from martloom.operators.schema import renamed
 from martloom.plans import columns as C
 from martloom.plans import exports, groups, indications, products, spend
 from martloom.plans.runner import IncrementalJob
+from martloom.session import scratch_path
 from martloom.sources.landing import read_landing
 from martloom.sources.sinks import export_delimited
 from martloom.sources.state import Bookmark, HistoryTable
@@ -103,8 +104,19 @@ def _run(
     """Run one staging job; the history has the columns of the stage."""
     schema = extract(first_bound, until).schema
     history = HistoryTable(spark, f"{places.state}/history/{table}", schema, key, stamp_exec)
-    bookmark = Bookmark(spark, f"{places.state}/bookmark/{table}")
-    return IncrementalJob(extract, bookmark, first_bound, places.stage, table, history).run(spark, until, run)
+    job = IncrementalJob(extract, _bookmark(spark, places, table), first_bound, places.stage, table, history)
+    return job.run(spark, until, run)
+
+
+def _bookmark(spark: SparkSession, places: Places, table: str) -> Bookmark:
+    return Bookmark(spark, f"{places.state}/bookmark/{table}")
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result to the scratch folder: read twice, or joined by its real size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _moment(run: RunContext) -> str:
@@ -124,10 +136,18 @@ def stage_products(
     table: str = "product_stage",
     names: Names | None = None,
 ) -> tuple[str, str]:
+    """After the first load, the tables are first reduced to the products something was published for.
+
+    The ids of these products are stored, so their number is known and the reduction needs no shuffle
+    of the tables unless there are too many ids to broadcast.
+    """
     tables = load_bundle(spark, places.source, PRODUCT_TABLES, names)
 
     def extract(after: str, until: str) -> DataFrame:
-        return products.product_feed(tables, after, own_type, run)
+        if after == first_bound:
+            return products.product_feed(tables, after, own_type, run)
+        touched = _stored(products.touched_products(tables, after), "touched")
+        return products.product_feed(products.restrict(tables, touched), after, own_type, run)
 
     return _run(spark, places, table, "product_external_id__c", extract, first_bound, _moment(run), run, False)
 
@@ -189,15 +209,25 @@ SPEND_STAGES = {"events": "spend_event_stage", "attendees": "spend_attendee_stag
 def stage_spend(
     spark: SparkSession, places: Places, landing: Landing, rules: spend.SpendRules, run: RunContext
 ) -> dict[str, tuple[str, str]]:
-    """The three spend stages. Each has its own bookmark; ``rules.after`` is the bound of a first run."""
-    meetings = landing.read(spark, "meetings", C.LANDED_MEETING)
-    participants = landing.read(spark, "participants", C.LANDED_PARTICIPANT)
-    accounts = landing.read(spark, "accounts", C.LANDED_ACCOUNT)
-    day_values = landing.read(spark, "day_values", C.LANDED_DAY_VALUE)
+    """The three spend stages. Each has its own bookmark; ``rules.after`` is the bound of a first run.
+
+    Landed text is parsed once: the meetings of the earliest open window and the attendees of those
+    meetings are stored and shared by the stages, which apply their own windows again.
+    """
+    until = _instant(run)
 
     def within(after: str, until: str) -> spend.SpendRules:
         return replace(rules, after=after, until=until)
 
+    earliest = min(_bookmark(spark, places, table).read(rules.after) for table in SPEND_STAGES.values())
+    window = within(earliest, until)
+    landed = landing.read(spark, "meetings", C.LANDED_MEETING)
+    meetings = _stored(landed.filter(window.updated() & window.is_final()), "meetings")
+    ids = meetings.select(F.col("Id").alias("_meeting"))
+    attending = landing.read(spark, "participants", C.LANDED_PARTICIPANT).filter(rules.attending())
+    participants = _stored(attending.join(ids, F.col("Meeting_MERC__c") == F.col("_meeting"), "left_semi"), "participants")
+    accounts = landing.read(spark, "accounts", C.LANDED_ACCOUNT)
+    day_values = landing.read(spark, "day_values", C.LANDED_DAY_VALUE)
     stages = {
         "events": ("event_id_merc__c", lambda a, u: spend.event_stage(meetings, within(a, u), run)),
         "attendees": (
@@ -207,7 +237,7 @@ def stage_spend(
         "day_values": ("id", lambda a, u: spend.day_value_stage(day_values, participants, meetings, within(a, u), run)),
     }
     return {
-        name: _run(spark, places, SPEND_STAGES[name], key, extract, rules.after, _instant(run), run, True)
+        name: _run(spark, places, SPEND_STAGES[name], key, extract, rules.after, until, run, True)
         for name, (key, extract) in stages.items()
     }
 

@@ -144,6 +144,49 @@ def brand_feed(t: Tables, since: str, types: Sequence[str]) -> DataFrame:
     return _with_master(t, narrow, types, published, since)
 
 
+def touched_products(t: Tables, since: str) -> DataFrame:
+    """Ids of all products a feed could have rows of: those with any involved row published since.
+
+    It is a superset of the products the feeds take, found by filters a scan can evaluate.
+    """
+
+    def published(name: str, key: str) -> DataFrame:
+        return t[name].filter(F.col("lst_pblsh_dt") > F.lit(since).cast("date")).select(F.col(key).alias("prod_id"))
+
+    parents = published("group_translations", "prod_grp_id").distinct()
+    children = t["group_links"].join(parents, F.col("prod_grp_id_prnt") == F.col("prod_id"), "left_semi")
+    through_groups = t["links"].join(
+        children.select("prod_grp_id_child").distinct(), F.col("prod_grp_prnt_id") == F.col("prod_grp_id_child"), "left_semi"
+    )
+    ids = [
+        published("prod", "prod_id"),
+        published("links", "prod_child_id"),
+        published("alternates", "prod_id"),
+        published("translations", "prod_id"),
+        through_groups.select(F.col("prod_child_id").alias("prod_id")),
+    ]
+    return union_feeds(ids).distinct()
+
+
+PRODUCT_KEYED = {
+    "prod": "prod_id",
+    "links": "prod_child_id",
+    "alternates": "prod_id",
+    "translations": "prod_id",
+    "replicated_products": "prod_id",
+}
+
+
+def restrict(t: Tables, touched: DataFrame) -> dict[str, DataFrame]:
+    """The tables with the rows of the touched products only. All rows of such a product stay, so
+    its maxima and lookups do not change."""
+    ids = touched.select(F.col("prod_id").alias("_touched"))
+    kept = {
+        name: t[name].join(ids, F.col(key) == F.col("_touched"), "left_semi") for name, key in PRODUCT_KEYED.items()
+    }
+    return {**t, **kept}
+
+
 def union_feeds(feeds: Sequence[DataFrame]) -> DataFrame:
     union = feeds[0]
     for feed in feeds[1:]:

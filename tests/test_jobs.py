@@ -1,10 +1,12 @@
 """Whole jobs over stored tables and landed files."""
 
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from helpers import planned
 from martloom.catalog import queries as Q
 from martloom.catalog.inputs import Inputs
 from martloom.context import RunContext
@@ -54,6 +56,23 @@ def test_product_job(spark, inputs, places, rows):
     assert out.filter(F.col("Cease_pblsh_dt__c") > "4000-12-31").count() == 0
 
 
+@pytest.mark.parametrize("since", ["2021-06-01", "2021-09-25", "2019-06-01", "2030-01-01"])
+def test_touched_products_give_the_whole_result(spark, inputs, rows, since):
+    t = Q.product_tables(inputs)
+    touched = products.touched_products(t, since)
+    assert touched.count() == touched.distinct().count()
+    restricted = products.product_feed(products.restrict(t, touched), since, "OWN", FIRST)
+    assert rows(restricted) == rows(products.product_feed(t, since, "OWN", FIRST))
+
+
+def test_few_touched_products_are_broadcast(spark, inputs, places):
+    store(inputs, places, {}, jobs.PRODUCT_TABLES)
+    tables = jobs.load_bundle(spark, places.source, jobs.PRODUCT_TABLES, None)
+    touched = jobs._stored(products.touched_products(tables, "2021-09-25"), "test-touched")
+    plan = planned(products.restrict(tables, touched)["links"])
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan and "hashpartitioning" not in plan
+
+
 def test_group_and_indication_jobs(spark, inputs, places):
     store(inputs, places, {"translations": "in_source_translations", "dialects": "in_dialects", "parents": "in_parents"}, jobs.GROUP_TABLES)
     seen = []
@@ -92,6 +111,13 @@ def test_spend_jobs(spark, inputs, places, rows):
         assert found.count() == as_text.count() > 1000
         assert found.exceptAll(as_text).count() == 0
     assert Bookmark(spark, f"{places.state}/bookmark/spend_event_stage").read("") == Q.UNTIL
+    # the next window starts where this one ended
+    later = RunContext(datetime(2001, 6, 30), 78)
+    windows = jobs.stage_spend(spark, places, landing, Q.RULES, later)
+    assert set(windows.values()) == {(Q.UNTIL, "2001-06-30T00:00:00.000Z")}
+    rules = replace(Q.RULES, after=Q.UNTIL, until="2001-06-30T00:00:00.000Z")
+    direct = spend.day_value_stage(inputs["in_day_value"], inputs["in_participant"], inputs["in_meeting"], rules, later)
+    assert rows(read_table(spark, places.stage, "spend_day_value_stage")) == rows(direct)
 
 
 def test_written_back_ids_are_numbers(spark, places):
