@@ -5,10 +5,12 @@ import pytest
 
 import __spark_entry__ as contract
 from helpers import UNWANTED, planned
+from martloom.catalog import oracle, queries
 from martloom.catalog.inputs import GIVEN
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES = {name: queries.callable_for(function) for name, function in queries.QUERIES.items()}
+ORACLE = oracle.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +27,8 @@ def ordered(rows):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
+    assert ORACLE.items() <= contract.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
