@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.llm import quality
 from martloom.llm.common import documents
 from martloom.llm.decontaminate import contained_items
 from martloom.llm.exact_dedup import exact_duplicates
 from martloom.llm.licenses import license_scan
+from martloom.llm.packing import pack
 from martloom.llm.sharding import shard
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +51,11 @@ GROUP BY d.id, item_id, n_item HAVING count(*) * 5 >= n_item * 4
 """
 
 
+@query("op2_harmonic_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query("op6_feistel_shards")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard(documents(spark, sf_dir), 8)
@@ -78,6 +86,19 @@ WINDOW best AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
 """
 
 
+@query("op8_quality_ftrl")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    weights = quality.train(docs, labels.filter(~quality.held_out()), "quality")
+    scored = quality.score(docs.select("doc_id", "text"), weights)
+    return scored.select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query("op10_license_rules")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(documents(spark, sf_dir)).drop("detections")
