@@ -15,6 +15,7 @@ from martloom.llm.exact_dedup import exact_duplicates
 from martloom.llm.licenses import license_scan
 from martloom.llm.packing import pack
 from martloom.llm.sharding import shard
+from martloom.llm.simhash import exact_scheme, near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -56,6 +57,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op4_simhash_near_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = near_duplicates(documents(spark, sf_dir), exact_scheme())
+    return rows.select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
+
+
 @query("op6_feistel_shards")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard(documents(spark, sf_dir), 8)
