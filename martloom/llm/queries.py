@@ -16,6 +16,7 @@ from martloom.llm.licenses import license_scan
 from martloom.llm.packing import pack
 from martloom.llm.sharding import shard
 from martloom.llm.simhash import exact_scheme, near_duplicates
+from martloom.llm.substrings import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -106,6 +107,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_suffix_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir))
+
+
 @query("op10_license_rules")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(documents(spark, sf_dir)).drop("detections")
