@@ -12,6 +12,7 @@ from martloom.llm import quality
 from martloom.llm.common import documents
 from martloom.llm.decontaminate import contained_items
 from martloom.llm.exact_dedup import exact_duplicates
+from martloom.llm.language_model import score_documents
 from martloom.llm.licenses import license_scan
 from martloom.llm.packing import pack
 from martloom.llm.sharding import shard
@@ -64,6 +65,38 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query("op5_stupid_backoff")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = score_documents(documents(spark, sf_dir))
+    return rows.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
+ORACLE["op5_stupid_backoff"] = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents
+), places AS (
+  SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM texts
+), grams AS (
+  SELECT doc_id, w[i] AS w1, CASE WHEN i > 1 THEN w[i - 1] END AS w0 FROM places
+), ones AS (
+  SELECT w1 AS word, count(*) AS c, sum(count(*)) OVER () AS n FROM grams GROUP BY w1
+), twos AS (
+  SELECT w0, w1, count(*) AS c FROM grams WHERE w0 IS NOT NULL GROUP BY w0, w1
+), scored AS (
+  SELECT g.doc_id,
+         CASE WHEN g.w0 IS NULL THEN ln(a.c / a.n)
+              WHEN t.c >= 2 THEN ln(t.c / b.c)
+              ELSE ln(0.4 * a.c / a.n) END AS s
+  FROM grams g JOIN ones a ON a.word = g.w1
+  LEFT JOIN ones b ON b.word = g.w0
+  LEFT JOIN twos t ON t.w0 = g.w0 AND t.w1 = g.w1
+)
+SELECT d.doc_id, len(d.w) AS n_words, round(coalesce(s.total, 0), 4) AS log_score,
+       round(CASE WHEN len(d.w) > 0 THEN s.total / len(d.w) END, 6) AS mean_log_score
+FROM texts d LEFT JOIN (SELECT doc_id, sum(s) AS total FROM scored GROUP BY doc_id) s USING (doc_id)
+"""
+
+
 @query("op6_feistel_shards")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard(documents(spark, sf_dir), 8)
