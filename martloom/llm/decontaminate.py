@@ -88,7 +88,8 @@ def contained_items(
     suspects = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(
         wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi"
     )
-    texts = suspects.select("doc_id", F.explode(_per_shingle(_words("text"), size, _text_of)).alias("shingle"))
+    spelled = suspects.select("doc_id", _words("text").alias("words"))
+    texts = spelled.select("doc_id", F.explode(_per_shingle(F.col("words"), size, _text_of)).alias("shingle"))
     shared = texts.join(small_side(shingles.select("item_id", "shingle", "n_item")), "shingle").distinct()
     counted = shared.groupBy("doc_id", "item_id", "n_item").agg(F.count("*").alias("n_shared"))
     pairs = candidates.withColumnsRenamed({"doc_id": "c_doc", "item_id": "c_item"})
