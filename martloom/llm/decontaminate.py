@@ -33,7 +33,8 @@ def item_shingles(items: DataFrame, item_id: str, text: str, size: int) -> DataF
     """Distinct shingles of the test items with their hash and the item's number of them."""
     words = items.select(F.col(item_id).alias("item_id"), _words(text).alias("words"))
     each = F.transform(_per_shingle(F.col("words"), size, lambda s: F.struct(F.xxhash64(s).alias("hash"), _text_of(s).alias("shingle"))), lambda s: s)
-    rows = words.select("item_id", F.explode(each).alias("s")).select("item_id", "s.hash", "s.shingle").distinct()
+    rows = words.select("item_id", F.explode_outer(each).alias("s")).select("item_id", "s.hash", "s.shingle")
+    rows = rows.filter("shingle IS NOT NULL").distinct()
     return rows.withColumn("n_item", F.count("*").over(Window.partitionBy("item_id")))
 
 
@@ -81,7 +82,8 @@ def contained_items(
     words = docs.select(F.col(doc_id).alias("doc_id"), _words(text).alias("words"))
     hashes = _per_shingle(F.col("words"), size, F.xxhash64)
     low = F.filter(hashes, lambda h: h <= F.lit(highest).cast("bigint"))
-    hits = words.select("doc_id", F.explode(low).alias("hash")).join(small_side(sketches.select("item_id", "hash")), "hash")
+    # Not explode(): the filter that Spark infers from it would split the text anew for every shingle. Nulls join nothing.
+    hits = words.select("doc_id", F.explode_outer(low).alias("hash")).join(small_side(sketches.select("item_id", "hash")), "hash")
     candidates = stored(hits.select("doc_id", "item_id").distinct(), "candidates")
 
     wanted = candidates.select(F.col("doc_id").alias("wanted")).distinct()
@@ -89,7 +91,7 @@ def contained_items(
         wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi"
     )
     spelled = suspects.select("doc_id", _words("text").alias("words"))
-    texts = spelled.select("doc_id", F.explode(_per_shingle(F.col("words"), size, _text_of)).alias("shingle"))
+    texts = spelled.select("doc_id", F.explode_outer(_per_shingle(F.col("words"), size, _text_of)).alias("shingle"))
     shared = texts.join(small_side(shingles.select("item_id", "shingle", "n_item")), "shingle").distinct()
     counted = shared.groupBy("doc_id", "item_id", "n_item").agg(F.count("*").alias("n_shared"))
     pairs = candidates.withColumnsRenamed({"doc_id": "c_doc", "item_id": "c_item"})
