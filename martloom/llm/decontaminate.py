@@ -105,5 +105,5 @@ def contained_items(
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that contain no test item, with all their columns."""
-    leaks = contained_items(docs, items, doc_id, text).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, F.col(doc_id).eqNullSafe(F.col("_leak")), "left_anti")
+    leaks = contained_items(docs, items, doc_id, text).select(F.col("doc_id").alias("_martloom_leak")).distinct()
+    return docs.join(leaks, F.col(doc_id).eqNullSafe(F.col("_martloom_leak")), "left_anti")

@@ -66,8 +66,10 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
 def drop_exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns. Rows that repeat id and text leave one."""
-    kept = exact_duplicates(docs, doc_id, text).filter("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_kept"))
-    marked = docs.withColumn("_digest", digest_of(text))
-    same = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_kept"))
-    once = marked.join(kept, same, "left_semi").dropDuplicates([doc_id, "_digest"])
-    return once.drop("_digest")
+    kept = exact_duplicates(docs, doc_id, text).filter("kept").select(
+        F.col("doc_id").alias("_martloom_id"), F.col("digest").alias("_martloom_kept")
+    )
+    marked = docs.withColumn("_martloom_digest", digest_of(text))
+    same = F.col(doc_id).eqNullSafe(F.col("_martloom_id")) & (F.col("_martloom_digest") == F.col("_martloom_kept"))
+    once = marked.join(kept, same, "left_semi").dropDuplicates([doc_id, "_martloom_digest"])
+    return once.drop("_martloom_digest")

@@ -141,8 +141,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id"
     return weights
 
 
-def score(docs: DataFrame, weights: np.ndarray, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every row of ``docs``, all columns kept, with ``score``: the probability of label 1 from the whole text.
+def score(docs: DataFrame, weights: np.ndarray, text: str = "text", into: str = "score") -> DataFrame:
+    """Every row of ``docs``, all columns kept, with ``into``: the probability of label 1 from the whole text.
 
     The weights, of fixed number, are broadcast; a score is a sparse dot product. Null texts count as empty, and an
     empty text is scored by the bias alone.
@@ -154,7 +154,7 @@ def score(docs: DataFrame, weights: np.ndarray, doc_id: str = "doc_id", text: st
         for batch in batches:
             yield pd.Series([_score(content, learned) for content in batch], dtype="float64")
 
-    return docs.withColumn("score", F.pandas_udf(probability, "double")(text_or_empty(text)))
+    return docs.withColumn(into, F.pandas_udf(probability, "double")(text_or_empty(text)))
 
 
 def _score(content: str, weights: np.ndarray) -> float:
@@ -169,4 +169,4 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def keep_good(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id") -> DataFrame:
     """The documents scored at least ``THRESHOLD`` by a model of the labels outside the held-out fold."""
     weights = train(docs, labels.filter(~held_out(doc_id)), label, doc_id)
-    return score(docs.withColumnRenamed("score", "_own_score"), weights, doc_id).filter(F.col("score") >= THRESHOLD).drop("score").withColumnRenamed("_own_score", "score")
+    return score(docs, weights, into="_martloom_score").filter(F.col("_martloom_score") >= THRESHOLD).drop("_martloom_score")

@@ -15,6 +15,7 @@ from martloom.llm.exact_dedup import exact_duplicates
 from martloom.llm.language_model import score_documents
 from martloom.llm.licenses import license_scan
 from martloom.llm.packing import pack
+from martloom.llm.secrets import scan_secrets
 from martloom.llm.sharding import shard
 from martloom.llm.simhash import exact_scheme, near_duplicates
 from martloom.llm.substrings import remove_repeats
@@ -59,6 +60,21 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op3_secret_forest")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(documents(spark, sf_dir), path="source")
+    return found.select(
+        "doc_id",
+        F.col("position").cast("bigint").alias("position"),
+        F.sha2("value", 256).alias("value_sha256"),
+        F.col("length").cast("bigint").alias("length"),
+        "format",
+        F.round("coverage", 6).alias("coverage"),
+        F.round("score", 6).alias("score"),
+        "is_secret",
+    )
+
+
 @query("op4_simhash_near_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_duplicates(documents(spark, sf_dir), exact_scheme())

@@ -211,5 +211,5 @@ def near_duplicates(docs: DataFrame, scheme: Scheme, doc_id: str = "doc_id", tex
 def drop_near_duplicates(docs: DataFrame, scheme: Scheme | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of every component, the one with the smallest id, with all its columns; rows with a null id stay."""
     found = near_duplicates(docs, scheme or similarity_scheme(), doc_id, text)
-    dropped = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, F.col(doc_id) == F.col("_dropped"), "left_anti")
+    dropped = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_martloom_dropped")).distinct()
+    return docs.join(dropped, F.col(doc_id) == F.col("_martloom_dropped"), "left_anti")
