@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from martloom.llm.common import stored, text_or_empty
 
@@ -20,6 +24,10 @@ TOLERANCE = 1 / 64
 #: Words whose ids a Python worker remembers before it starts anew.
 REMEMBERED_WORDS = 300_000
 
+#: Letters of one code point each whose lower case is one as well; no sign of the second part starts a contraction.
+LATIN_LETTERS = "".join(chr(c) for c in range(0xC0, 0x100) if chr(c).isalpha())
+_PLAIN = re.compile(rf"([A-Za-z{LATIN_LETTERS}]+)([!-&(-/:-@\[-`{{-~]*)")
+
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, class int, worker int, place long"
 
 
@@ -46,23 +54,38 @@ class Encoder:
     """Ids of whole texts as little-endian 32-bit bytes.
 
     No token of this kind of vocabulary spans white space, so ids are looked up word by word and words are remembered,
-    up to a bound.
+    up to a bound. A new word of common Latin letters with signs after it is two pieces to the tokenizer, lower-case
+    letters and signs; its model takes each of them without going through the stages before it. Any other word
+    goes through all of the tokenizer.
     """
 
     def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
-
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
         self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {"": b""}
+        byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelled = {ord(c): byte_level.pre_tokenize_str(c)[0][0] for c in LATIN_LETTERS}
+
+    def _piece(self, piece: str) -> bytes:
+        found = self.pieces.get(piece)
+        if found is None:
+            if len(self.pieces) >= REMEMBERED_WORDS:
+                self.pieces = {"": b""}
+            ids = [token.id for token in self.tokenizer.model.tokenize(piece.translate(self.spelled))]
+            found = self.pieces[piece] = np.array(ids, "<u4").tobytes()
+        return found
 
     def _learn(self, word: str) -> bytes:
         if len(self.known) >= REMEMBERED_WORDS:
             self.known.clear()
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        found = b"".join(i.to_bytes(4, "little") for i in ids)
-        if len(word) <= 64:
-            self.known[word] = found
+        if len(word) > 64:
+            return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        if parts := _PLAIN.fullmatch(word):
+            found = self._piece(parts[1].lower()) + self._piece(parts[2])
+        else:
+            found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        self.known[word] = found
         return found
 
     def __call__(self, text: str) -> bytes:
