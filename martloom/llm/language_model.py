@@ -120,7 +120,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     A null or empty text has no words, a ``log_score`` of 0 and no mean. Null ids stay null, repeated rows are scored
     and counted as often as they come, an empty table gives no rows; extra columns are ignored.
     """
-    named = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text"))
+    named = docs.select(F.col(doc_id).cast("string").alias("doc_id"), text_or_empty(text).alias("text"))
     blocks = max(LEAST_BLOCKS, -(-text_bytes(named, "text") // BLOCK_BYTES))
     buckets = max(LEAST_BUCKETS, blocks // BLOCKS_PER_BUCKET)
     n_words = named.agg(F.sum(F.regexp_count("text", F.lit(WORD)).cast("bigint"))).head()[0] or 0
@@ -147,9 +147,10 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         for bucket, positions in block.by_bucket():
             by_key[positions] = np.frombuffer(totals[bucket], np.int64)
         logs = block.log_scores(by_key, n_words)
-        return pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64"), "n_words": block.sizes, "log_score": logs})
+        return pd.DataFrame({"doc_id": rows["doc_id"], "n_words": block.sizes, "log_score": logs})
 
     sent = by_block.applyInPandas(explode, "block int, bucket int, keys binary, counts binary")
     counted = sent.groupBy("bucket").applyInPandas(count, "block int, bucket int, totals binary")
-    scored = by_block.cogroup(counted.groupBy("block")).applyInPandas(summed, "doc_id long, n_words long, log_score double")
+    scored = by_block.cogroup(counted.groupBy("block")).applyInPandas(summed, "doc_id string, n_words long, log_score double")
+    scored = scored.withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
     return scored.withColumn("mean_log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")))

@@ -28,7 +28,7 @@ REMEMBERED_WORDS = 300_000
 LATIN_LETTERS = "".join(chr(c) for c in range(0xC0, 0x100) if chr(c).isalpha())
 _PLAIN = re.compile(rf"([A-Za-z{LATIN_LETTERS}]+)([!-&(-/:-@\[-`{{-~]*)")
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, class int, worker int, place long"
+PIECES = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, class int, worker int, place long"
 
 
 def cut(tokens: int, capacity: int = CAPACITY, tolerance: float = TOLERANCE) -> list[tuple[int, int]]:
@@ -105,7 +105,7 @@ def encoder(vocabulary: str) -> Encoder:
 
 
 def cut_documents(docs: DataFrame, vocabulary: str, doc_id: str, text: str, keep_ids: bool) -> DataFrame:
-    """Pieces of all documents, numbered within their class by the task that cut them."""
+    """Pieces of all documents (ids as text), numbered within their class by the task that cut them."""
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, worker, counts = encoder(vocabulary), TaskContext.get().partitionId(), {}
@@ -119,14 +119,14 @@ def cut_documents(docs: DataFrame, vocabulary: str, doc_id: str, text: str, keep
                     part = ids[4 * start : 4 * (start + length)]
                     place = counts.get(kind, 0)
                     counts[kind] = place + 1
-                    row = (None if pd.isna(key) else int(key), start, length, zlib.crc32(part), total, kind, worker, place)
+                    row = (key, start, length, zlib.crc32(part), total, kind, worker, place)
                     rows.append((*row, part) if keep_ids else row)
                     start += length
             names = [c.split()[0] for c in schema.split(", ")]
-            yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=names)
 
     schema = PIECES + ", ids binary" * keep_ids
-    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text")).mapInPandas(pieces, schema)
+    return docs.select(F.col(doc_id).cast("string").alias("doc_id"), text_or_empty(text).alias("text")).mapInPandas(pieces, schema)
 
 
 def _first_fit(rows: pd.DataFrame) -> pd.DataFrame:
@@ -195,4 +195,5 @@ def pack(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "
     last = fitted.select(*columns, (F.lit(total) + F.col("bin")).cast("bigint").alias("sequence_id"), "place")
     order = Window.partitionBy("sequence_id").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("length").over(order), F.lit(0))
-    return regular.unionByName(last).withColumn("offset", offset).drop("place")
+    packed = regular.unionByName(last).withColumn("offset", offset).drop("place")
+    return packed.withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))

@@ -35,7 +35,7 @@ class Block:
     """The documents of a block, their runs, and the keys it asks for, by bucket and key."""
 
     def __init__(self, rows: pd.DataFrame, buckets: int):
-        self.ids = rows["doc_id"].fillna(LAST).astype(np.int64).to_numpy()
+        self.ids = rows["own"].to_numpy(np.int64)
         self.texts = [t.encode() for t in rows["text"]]
         self.runs = [window_runs(t) for t in self.texts]
         self.buckets = buckets
@@ -228,17 +228,18 @@ def _cut(buckets: int, keep_text: bool):
             else:
                 spans[document].extend((start + low, start + high + SPAN - 1) for low, high in covered.get(at, ()))
         out = []
-        for key, text, own in zip(rows["doc_id"], block.texts, spans, strict=True):
+        for key, unnamed, text, own in zip(block.ids.tolist(), rows["unnamed"], block.texts, spans, strict=True):
             runs = _merged(own)
             kept, at = [], 0
             for start, end in runs:
                 kept.append(text[at:start])
                 at = end
             rest = b"".join([*kept, text[at:]])
-            row = (None if pd.isna(key) else int(key), len(text), len(text) - len(rest), len(runs), hashlib.sha256(rest).hexdigest())
+            row = (None if unnamed else key, len(text), len(text) - len(rest), len(runs), hashlib.sha256(rest).hexdigest())
             out.append((*row, rest) if keep_text else row)
         names_out = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * keep_text]
-        return pd.DataFrame(out, columns=names_out).astype({"doc_id": "Int64"})
+        found = pd.DataFrame(out, columns=names_out)
+        return found.assign(doc_id=pd.array([r[0] for r in out], "Int64"))
 
     return cut
 
@@ -257,10 +258,11 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Null texts are empty. A null id counts as later than all others. Documents that share an id leave one another
     alone. Texts shorter than ``SPAN`` bytes keep everything; an empty table gives no rows; extra columns are ignored.
     """
-    named = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text"))
+    number = F.col(doc_id).cast("bigint")
+    named = docs.select(F.coalesce(number, F.lit(LAST)).alias("own"), number.isNull().alias("unnamed"), text_or_empty(text).alias("text"))
     blocks = max(LEAST_BLOCKS, -(-text_bytes(named, "text") // BLOCK_BYTES))
     buckets = max(LEAST_BUCKETS, blocks // BLOCKS_PER_BUCKET)
-    dealt = named.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
+    dealt = named.withColumn("block", F.pmod(F.xxhash64("own", "text"), F.lit(blocks)).cast("int"))
     by_block = dealt.groupBy("block")
     asked = by_block.applyInPandas(_ask(buckets), "block int, bucket int, keys binary, several binary")
     counted = asked.groupBy("bucket").applyInPandas(_count, REPLY)
