@@ -115,7 +115,9 @@ PICKED = f"""(
     SELECT c.*, r.product_external_id AS replicated_id,
            ROW_NUMBER() OVER (
              PARTITION BY c.product_external_id, r.product_external_id
-             ORDER BY c.sfdc_id_prod_grp NULLS FIRST, c.altrnt_id NULLS FIRST, c.trnsltd_dsply_nm NULLS FIRST,
+             ORDER BY (c.altrnt_id IS NULL OR c.sfdc_id_prod_grp IS NULL
+                       OR (c.trnsltd_dsply_nm IS NULL AND c.trnsltd_prod_desc_txt IS NULL)),
+                      c.sfdc_id_prod_grp NULLS FIRST, c.altrnt_id NULLS FIRST, c.trnsltd_dsply_nm NULLS FIRST,
                       c.trnsltd_prod_desc_txt NULLS FIRST, c.start_dt NULLS FIRST, c.end_dt NULLS FIRST,
                       c.cease_pblsh_dt NULLS FIRST) AS position
     FROM {RECONCILED} c

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 def changed_since(dates: Sequence[Column], since: str) -> Column:
     """True when any of the dates is after ``since``; there is no upper bound."""
-    return F.greatest(*dates) > F.lit(since).cast("date")
+    latest = F.greatest(*dates) if len(dates) > 1 else dates[0]
+    return latest > F.lit(since).cast("date")
 
 
 def in_window(value: Column, after: str, until: str, mode: str = "instant") -> Column:

@@ -17,7 +17,7 @@ from martloom.operators.schema import renamed
 from martloom.plans import columns as C
 from martloom.plans import exports, groups, indications, products, spend
 from martloom.plans.runner import IncrementalJob
-from martloom.session import scratch_path
+from martloom.session import scratch_path, tune
 from martloom.sources.landing import read_landing
 from martloom.sources.sinks import export_delimited
 from martloom.sources.state import Bookmark, HistoryTable
@@ -80,7 +80,7 @@ class Places:
 
 def load_bundle(spark: SparkSession, source: Folder | Database, tables: Names, names: Names | None) -> dict[str, DataFrame]:
     """The tables of a job under the table and column names the plans use."""
-    loaded = read_tables(spark, source, {**tables, **(names or {})})
+    loaded = read_tables(tune(spark), source, {**tables, **(names or {})})
     bundle = {name: renamed(df, PLAN_NAMES.get(name, {})) for name, df in loaded.items()}
     for name in WHOLE_NUMBERS.keys() & bundle.keys():
         column = WHOLE_NUMBERS[name]
@@ -214,12 +214,14 @@ def stage_spend(
     Landed text is parsed once: the meetings of the earliest open window and the attendees of those
     meetings are stored and shared by the stages, which apply their own windows again.
     """
+    tune(spark)
     until = _instant(run)
 
     def within(after: str, until: str) -> spend.SpendRules:
         return replace(rules, after=after, until=until)
 
-    earliest = min(_bookmark(spark, places, table).read(rules.after) for table in SPEND_STAGES.values())
+    bounds = [_bookmark(spark, places, table).window(rules.after, until, run.exec_id)[0] for table in SPEND_STAGES.values()]
+    earliest = min(bounds)
     window = within(earliest, until)
     landed = landing.read(spark, "meetings", C.LANDED_MEETING)
     meetings = _stored(landed.filter(window.updated() & window.is_final()), "meetings")
@@ -244,7 +246,7 @@ def stage_spend(
 
 def export_spend(spark: SparkSession, stage: Folder | Database, identity: spend.SpendIdentity, targets: Sequence[str]) -> None:
     """The spend file as tab-separated text, in every target folder."""
-    staged = read_tables(spark, stage, SPEND_STAGES)
+    staged = read_tables(tune(spark), stage, SPEND_STAGES)
     joined = spend.spend_join(staged["events"], staged["attendees"], staged["day_values"])
     export_delimited(spend.spend_export(joined, identity), targets, sep="\t")
 
@@ -258,4 +260,4 @@ FORMATTERS = {
 
 def export_stage(spark: SparkSession, stage: Folder | Database, table: str, kind: str, target: str) -> None:
     """A staged table as comma-separated text for the receiving system."""
-    export_delimited(FORMATTERS[kind](read_table(spark, stage, table)), [target])
+    export_delimited(FORMATTERS[kind](read_table(tune(spark), stage, table)), [target])

@@ -32,7 +32,8 @@ STAGING, BRAND, MARKET = "STGH", "BRND", "MKTP"
 SAMPLE_TYPES = ("SAMPLE", "EDUCATIONAL")
 COMPETITOR = "COMPETITOR"
 
-# The row kept per external id is the first by these columns, nulls first, then by all others.
+# The row kept per external id is the first by these columns, nulls first, then by all others; complete rows go first.
+INCOMPLETE = "_incomplete"
 PICK_ORDER = (
     "sfdc_id_prod_grp",
     "altrnt_id",
@@ -294,16 +295,16 @@ def product_external_id() -> Column:
     )
 
 
+def complete() -> Column:
+    """With alternate id, a translated text and a parent id."""
+    translated = F.col("trnsltd_dsply_nm").isNotNull() | F.col("trnsltd_prod_desc_txt").isNotNull()
+    return F.col("altrnt_id").isNotNull() & translated & F.col("sfdc_id_prod_grp").isNotNull()
+
+
 def eligible(as_of: Column) -> Column:
     """Already replicated or valid now; and with alternate id, a translated text and a parent id."""
     valid = (F.col("end_dt") >= as_of) & (F.col("cease_pblsh_dt").isNull() | (F.col("cease_pblsh_dt") >= as_of))
-    translated = F.col("trnsltd_dsply_nm").isNotNull() | F.col("trnsltd_prod_desc_txt").isNotNull()
-    return (
-        (F.col("_replicated_id").isNotNull() | valid)
-        & F.col("altrnt_id").isNotNull()
-        & translated
-        & F.col("sfdc_id_prod_grp").isNotNull()
-    )
+    return (F.col("_replicated_id").isNotNull() | valid) & complete()
 
 
 def candidates(feed: DataFrame, t: Tables) -> DataFrame:
@@ -317,7 +318,7 @@ def candidates(feed: DataFrame, t: Tables) -> DataFrame:
         {"prod_id": "prod_id", "cntry_cd": "cntry_cd", "product_external_id": "product_external_id"},
         {"_id": "_replicated_id"},
     )
-    return first_per_key(df, ROW_KEY, PICK_ORDER)
+    return first_per_key(df.withColumn(INCOMPLETE, ~complete()), ROW_KEY, (INCOMPLETE, *PICK_ORDER)).drop(INCOMPLETE)
 
 
 def _with_master_key(master: DataFrame) -> DataFrame:

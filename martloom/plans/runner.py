@@ -25,11 +25,16 @@ class IncrementalJob:
     history: HistoryTable | None = None
 
     def run(self, spark: SparkSession, until: str, run: RunContext) -> tuple[str, str]:
-        """Bounds of the window that was loaded. A retry with the same run loads it once."""
-        after = self.bookmark.read(self.first_bound)
+        """Bounds of the window that was loaded.
+
+        A retry of the same run to the same bound stages its window again and publishes it once, whether the first
+        attempt had failed or finished.
+        """
+        after, finished = self.bookmark.window(self.first_bound, until, run.exec_id)
         write_stage(self.extract(after, until), self.stage, self.stage_table)
         if self.history:
             staged = read_table(spark, self.stage, self.stage_table)
-            self.history.publish(staged, run, token=f"run-{run.exec_id}")
-        self.bookmark.commit(until, run.exec_id)
+            self.history.publish(staged, run, token=f"run-{run.exec_id}-{after}-{until}")
+        if not finished:
+            self.bookmark.commit(until, run.exec_id)
         return after, until

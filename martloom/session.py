@@ -23,7 +23,6 @@ SETTINGS = {
 }
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def build_session(app_name: str = "martloom", master: str | None = None, **extra: str) -> SparkSession:
@@ -44,8 +43,7 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def partitions_for(total_bytes: int, expansion: float = 3.0) -> int:
     """Shuffle partitions that keep each one near 128 MB once columnar input is decoded."""
-    wanted = int(total_bytes * expansion // TARGET_PARTITION_BYTES) + 1
-    return min(wanted, MAX_SHUFFLE_PARTITIONS)
+    return int(total_bytes * expansion // TARGET_PARTITION_BYTES) + 1
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -53,6 +51,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def input_bytes(spark: SparkSession, paths: Iterable[str]) -> int:
     """Total file size under ``paths``; one metadata call per path, no data is read."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()

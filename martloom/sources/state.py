@@ -2,11 +2,13 @@
 
 Both are ordinary datasets in a shared folder that are only appended to. A run costs what it stages,
 however long the history is: it adds its rows and the list of their keys, and a reader derives from
-the key lists which rows are closed. A version counts only once its number is in the commit log.
+the key lists which rows are closed. A segment counts only once the commit log names it.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,7 +20,7 @@ from martloom.operators import history as H
 from martloom.session import path_exists
 
 BOOKMARK_SCHEMA = "seq bigint, value string, exec_id bigint"
-COMMIT_SCHEMA = "version bigint, exec_id bigint, removed_exec_id bigint, token string"
+COMMIT_SCHEMA = "version bigint, exec_id bigint, removed_exec_id bigint, token string, segment string"
 
 
 def _schema(ddl: str) -> T.StructType:
@@ -57,6 +59,21 @@ class Bookmark:
         last = self._last()
         return last["value"] if last else default
 
+    def window(self, default: str, until: str, exec_id: int) -> tuple[str, bool]:
+        """The lower bound for a run up to ``until``, and whether this very run has finished already.
+
+        A retry of a finished run gets the bound it had the first time.
+        """
+        log = _read_log(self.spark, self.path, BOOKMARK_SCHEMA)
+        last = self._last()
+        if not last:
+            return default, False
+        mine = log.filter((F.col("exec_id") == exec_id) & (F.col("value") == until)).agg(F.max("seq")).head()[0]
+        if mine != last["seq"]:
+            return last["value"], False
+        before = log.filter(F.col("seq") == mine - 1).head()
+        return before["value"] if before else default, True
+
     def commit(self, value: str, exec_id: int) -> None:
         last = self._last()
         _append_log(self.spark, self.path, BOOKMARK_SCHEMA, ((last["seq"] + 1) if last else 1, value, exec_id))
@@ -101,12 +118,16 @@ class HistoryTable:
     def version(self) -> int:
         return self._state().version
 
-    def _part(self, part: str, schema: T.StructType, state: _State) -> DataFrame:
-        """Committed segments of one part, with the version ``v`` that wrote each row."""
-        stored = T.StructType([*schema.fields, T.StructField("v", T.LongType())])
-        if state.version == 0:
-            return _literal_rows(self.spark, stored, None)
-        return self.spark.read.schema(stored).parquet(f"{self.path}/{part}").filter(F.col("v") <= state.version)
+    def _part(self, part: str, schema: T.StructType) -> DataFrame:
+        """The segments of one part that the commit log names, with the version ``v`` of each row.
+
+        What a run left that failed before its commit is in no version, whatever was committed since.
+        """
+        if not path_exists(self.spark, f"{self.path}/{part}"):
+            return _literal_rows(self.spark, T.StructType([*schema.fields, T.StructField("v", T.LongType())]), None)
+        stored = self.spark.read.schema(T.StructType([*schema.fields, T.StructField("_segment", T.StringType())]))
+        named = self._commits().filter(F.col("segment").isNotNull()).select(F.col("segment").alias("_segment"), F.col("version").alias("v"))
+        return stored.parquet(f"{self.path}/{part}").join(named, "_segment").drop("_segment")
 
     def _without_removed(self, rows: DataFrame) -> DataFrame:
         """Leave out what rolled-back runs had created before they were rolled back."""
@@ -126,11 +147,11 @@ class HistoryTable:
         were runs, and the join is on key and version.
         """
         state = self._state()
-        rows = self._part("rows", self.schema, state)
+        rows = self._part("rows", self.schema)
         if state.has_removals:
             rows = self._without_removed(rows)
         by_version = Window.partitionBy("_key").orderBy("v")
-        following = self._part("keys", self._key_schema(), state).select(
+        following = self._part("keys", self._key_schema()).select(
             "_key",
             F.col("v").alias("_v"),
             F.lead("closed_ts").over(by_version).alias("_closed_ts"),
@@ -157,22 +178,29 @@ class HistoryTable:
             ]
         )
 
-    def _write(self, rows: DataFrame, part: str, version: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/{part}/v={version}")
+    def _commit(self, version: int, exec_id: int | None, removed: int | None, token: str | None, segment: str | None) -> None:
+        """Add one file to the log, named by its version. A second writer of the same version fails here."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/commits/{version:012d}.json")
+        entry = {"version": version, "exec_id": exec_id, "removed_exec_id": removed, "token": token, "segment": segment}
+        out = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(path, False)
+        try:
+            out.write(bytearray(json.dumps(entry).encode()))
+        finally:
+            out.close()
 
     def publish(self, stage: DataFrame, run: RunContext, token: str | None = None) -> int:
         """Append the staged rows as one version, which closes the older rows of their keys.
 
-        A run that fails before the commit leaves the previous version in place, and its retry
-        overwrites what it had written. A ``token`` that is published already is not published
+        A run that fails before the commit leaves the previous version in place: its segment is never named.
+        Of two runs that publish at the same time one fails and can be retried. A ``token`` that is published already is not published
         again, unless the run was rolled back since.
         """
         state = self._state(token, run.exec_id)
         if state.published:
             return state.version
         following = state.version + 1
-        self._add_segment(following, H.new_rows(self.schema, stage, run), run.timestamp, run.executor)
-        _append_log(self.spark, f"{self.path}/commits", COMMIT_SCHEMA, (following, run.exec_id, None, token))
+        segment = self._add_segment(H.new_rows(self.schema, stage, run), run.timestamp, run.executor)
+        self._commit(following, run.exec_id, None, token, segment)
         return following
 
     def seed(self, history: DataFrame) -> int:
@@ -180,22 +208,26 @@ class HistoryTable:
         if self.version():
             raise ValueError("only an empty history can be seeded")
         never = F.lit(None)
-        self._add_segment(1, history.select([f.name for f in self.schema.fields]), never, never)
-        _append_log(self.spark, f"{self.path}/commits", COMMIT_SCHEMA, (1, None, None, None))
+        segment = self._add_segment(history.select([f.name for f in self.schema.fields]), never, never)
+        self._commit(1, None, None, None, segment)
         return 1
 
-    def _add_segment(self, version: int, rows: DataFrame, closed_ts: Column, closed_by: Column) -> None:
-        self._write(rows, "rows", version)
-        keys = H.stage_keys(rows, self.key).select(
+    def _add_segment(self, rows: DataFrame, closed_ts: Column, closed_by: Column) -> str:
+        """Write rows and their keys under a name of their own. The keys are those of the rows as written."""
+        segment = uuid.uuid4().hex
+        rows.write.parquet(f"{self.path}/rows/_segment={segment}")
+        written = self.spark.read.schema(rows.schema).parquet(f"{self.path}/rows/_segment={segment}")
+        keys = H.stage_keys(written, self.key).select(
             F.col("_stage_key").alias("_key"),
             closed_ts.cast("timestamp").alias("closed_ts"),
             closed_by.cast("bigint").alias("closed_by"),
         )
-        self._write(keys, "keys", version)
+        keys.write.parquet(f"{self.path}/keys/_segment={segment}")
+        return segment
 
     def rollback(self, exec_id: int) -> int:
         """Take out the rows one run created. Rows it closed stay closed. Only the log is written."""
         following = self.version() + 1
         if following > 1:
-            _append_log(self.spark, f"{self.path}/commits", COMMIT_SCHEMA, (following, exec_id, exec_id, None))
+            self._commit(following, exec_id, exec_id, None, None)
         return following

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,15 +12,16 @@ from martloom.sources.state import HistoryTable
 
 
 def stream_history(rows: DataFrame, history: HistoryTable, run: RunContext, checkpoint: str) -> StreamingQuery:
-    """Publish each micro-batch as one history version; a replayed batch is not published twice."""
+    """Publish each micro-batch as one history version; a replayed batch is not published twice.
+
+    Batches are told apart by the id that Spark keeps with the checkpoint and their number, so a stream with another
+    checkpoint publishes all that it reads.
+    """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        # A batch is read three times per version: keys to close, keys that stay, new rows.
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            replace(history, spark=batch.sparkSession).publish(batch, run, token=f"batch-{batch_id}")
-        finally:
-            batch.unpersist()
+        session = batch.sparkSession
+        stream = session.read.text(f"{checkpoint}/metadata").head()["value"]
+        replace(history, spark=session).publish(batch, run, token=f"{stream}-{batch_id}")
 
     return (
         rows.writeStream.foreachBatch(publish)

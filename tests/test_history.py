@@ -95,17 +95,41 @@ def test_table_rollback_then_same_run_again(spark, table, stage, rows):
     assert table.read().filter("k = 'c'").count() == 2, "a published token is not published twice"
 
 
-def test_uncommitted_version_is_not_read(spark, table, stage, rows):
+def fail_before_commit(table, stage, run, monkeypatch):
+    def fail(*args):
+        raise OSError("lost before the commit")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(HistoryTable, "_commit", fail)
+        with pytest.raises(OSError):
+            table.publish(stage, run)
+
+
+def test_uncommitted_segment_is_not_read(table, stage, rows, monkeypatch):
     table.publish(stage, FIRST)
     before = rows(table.read())
-    table._write(H.new_rows(SCHEMA, stage, SECOND), "rows", 2)
-    table._write(spark.createDataFrame([("c", OLD, 1)], "_key string, closed_ts timestamp, closed_by bigint"), "keys", 2)
+    fail_before_commit(table, stage, SECOND, monkeypatch)
     assert table.version() == 1
     assert rows(table.read()) == before
     table.publish(stage.filter("k = 'c'"), SECOND)
     assert table.read().count() == len(before) + 1
 
 
+def test_rollback_of_a_failed_run_publishes_nothing(table, stage, rows, monkeypatch):
+    table.publish(stage, FIRST)
+    before = rows(table.read())
+    fail_before_commit(table, stage, SECOND, monkeypatch)
+    table.rollback(SECOND.exec_id)
+    assert rows(table.read()) == before
+
+
+def test_second_writer_of_a_version_fails(table, stage):
+    table.publish(stage, FIRST)
+    with pytest.raises(Exception, match="FileAlreadyExists"):
+        table._commit(1, 99, None, None, "other")
+    assert table.version() == 1
+
+
 def test_bookmark_default_and_last_value(spark):
     bookmark = Bookmark(spark, scratch_path(spark, "test-bookmark"))
     assert bookmark.read("never") == "never"
@@ -147,6 +171,27 @@ def test_bookmark_moves_only_after_a_whole_run(spark, stage):
     assert runner.history.read().filter("is_active = 'Y' and k = 'a'").count() == 2
 
 
+def test_retry_stages_the_same_window_again(spark, stage, rows):
+    base = scratch_path(spark, "test-retry")
+    windows = []
+
+    def extract(after, until):
+        windows.append((after, until))
+        return stage.limit(0) if after == until else stage
+
+    runner = job(spark, extract, base)
+    runner.run(spark, "1", FIRST)
+    published = rows(runner.history.read())
+    for _ in range(2):
+        assert runner.run(spark, "1", FIRST) == ("0", "1")
+        assert spark.read.parquet(f"{base}/stage/t").count() == stage.count()
+        assert rows(runner.history.read()) == published
+    assert runner.run(spark, "2", FIRST) == ("1", "2"), "a later bound of the same run is a window of its own"
+    assert runner.history.version() == 2
+    assert runner.run(spark, "2", FIRST) == ("1", "2")
+    assert runner.history.version() == 2
+
+
 def test_publishing_reads_no_history(spark, table, stage, monkeypatch):
     """A run costs what it stages, however long the history is."""
     table.publish(stage, FIRST)

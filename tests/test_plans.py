@@ -134,6 +134,18 @@ def test_product_feed(tables, rows):
     ]
 
 
+def test_incomplete_rows_remove_no_product(spark, tables, rows):
+    none = F.lit(None).cast("string")
+    blank = {
+        "translations": {"trnsltd_dsply_nm": none, "trnsltd_prod_desc_txt": none},
+        "alternates": {"altrnt_id": none},
+        "replicated_groups": {"sfdc_id": none},
+    }
+    more = {name: tables[name].unionByName(tables[name].withColumns(columns)) for name, columns in blank.items()}
+    before = rows(products.product_feed(tables, SINCE, "OWN", RUN))
+    assert before and rows(products.product_feed({**tables, **more}, SINCE, "OWN", RUN)) == before
+
+
 def test_expired_products_stay_only_when_replicated(spark, tables, rows):
     late = RunContext(RUN.run_ts, 7, date(2025, 6, 1))
     assert products.product_feed(tables, SINCE, "OWN", late).count() == 0

@@ -1,4 +1,5 @@
 from datetime import datetime
+from pathlib import Path
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,10 +49,28 @@ def test_streamed_history_equals_batches(spark, rows):
     assert table.version() == len(steps)
 
 
+def test_new_checkpoint_publishes_what_it_reads(spark):
+    base = scratch_path(spark, "test-stream")
+    table = HistoryTable(spark, f"{base}/history", SCHEMA, "k")
+    for check, folder, value in (("first", "landing", "1"), ("second", "other", "2")):
+        land(spark, f"{base}/{folder}", "0", [("a", value)])
+        stream_history(landing_stream(spark, f"{base}/{folder}", COLUMNS), table, RUN, f"{base}/{check}").awaitTermination()
+    assert table.version() == 2
+    assert [r["payload"] for r in table.read().filter(F.col("is_active") == "Y").collect()] == ["2"]
+
+
 def test_replayed_batch_is_published_once(spark):
+    """The commit of the batch in the checkpoint is lost, so that Spark gives the batch out again."""
     base = scratch_path(spark, "test-stream")
     table = HistoryTable(spark, f"{base}/history", SCHEMA, "k")
     land(spark, f"{base}/landing", "0", [("a", "1")])
-    for check in ("first", "lost"):
-        stream_history(landing_stream(spark, f"{base}/landing", COLUMNS), table, RUN, f"{base}/{check}").awaitTermination()
-    assert table.read().filter(F.col("k") == "a").count() == 1
+
+    def run():
+        stream_history(landing_stream(spark, f"{base}/landing", COLUMNS), table, RUN, f"{base}/check").awaitTermination()
+
+    run()
+    for part in Path(f"{base}/check/commits").iterdir():
+        part.unlink()
+    run()
+    assert table.version() == 1
+    assert table.read().count() == 1
