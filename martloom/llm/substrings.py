@@ -11,16 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.common import text_bytes, text_or_empty
-from martloom.llm.suffixes import SPAN, equal_classes, window_runs
+from martloom.llm.suffixes import SPAN, equal_classes, repeated_windows, window_runs
 
 #: Bytes of text that one task reads at a time, and blocks at least, so that small tables spread as well.
 BLOCK_BYTES = 16 << 20
 LEAST_BLOCKS = 64
-#: Blocks to a bucket of keys, and buckets at least.
-BLOCKS_PER_BUCKET = 4
-LEAST_BUCKETS = 48
-#: A key in more blocks than this is hot: its windows are then spread by their own bytes.
-HOT_BLOCKS = 48
+#: A key with more runs than this is hot: its windows are then spread by their own bytes.
+HOT_RUNS = 50_000
 LAST = np.iinfo(np.int64).max
 
 REPLY = "block int, bucket int, kind int, data binary"
@@ -46,6 +43,7 @@ class Block:
         np.minimum.at(least, self.at, owner)
         np.maximum.at(most, self.at, owner)
         self.several = least != most
+        self.occurrences = np.bincount(self.at, minlength=len(self.keys)).astype(np.int32)
         self.bucket = _bucket_of(self.keys, buckets)
 
     def questions(self):
@@ -97,14 +95,14 @@ def _ask(buckets: int):
     def ask(rows: pd.DataFrame) -> pd.DataFrame:
         block = Block(rows, buckets)
         number = int(rows["block"].iloc[0])
-        out = [(number, b, block.keys[p].tobytes(), block.several[p].tobytes()) for b, p in block.questions()]
-        return pd.DataFrame(out, columns=["block", "bucket", "keys", "several"])
+        out = [(number, b, block.keys[p].tobytes(), block.several[p].tobytes(), block.occurrences[p].tobytes()) for b, p in block.questions()]
+        return pd.DataFrame(out, columns=["block", "bucket", "keys", "several", "occurrences"])
 
     return ask
 
 
 def _count(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of every key asked for in a bucket: whether several documents hold it, and whether very many blocks do."""
+    """Of every key asked for in a bucket: whether several documents hold it, and whether it has very many runs."""
     sizes = [len(k) // 8 for k in rows["keys"]]
     keys = np.frombuffer(b"".join(rows["keys"]), np.uint64)
     several = np.frombuffer(b"".join(rows["several"]), bool)
@@ -112,7 +110,8 @@ def _count(rows: pd.DataFrame) -> pd.DataFrame:
     marks = np.zeros(len(names), np.uint8)
     marks[back[several]] = 1
     marks[blocks > 1] = 1
-    marks[blocks > HOT_BLOCKS] = 2
+    runs = np.bincount(back, np.frombuffer(b"".join(rows["occurrences"]), np.int32), len(names))
+    marks[(marks == 1) & (runs > HOT_RUNS)] = 2
     replies = np.split(marks[back], np.cumsum(sizes)[:-1])
     return pd.DataFrame({"block": rows["block"], "bucket": rows["bucket"], "kind": 0, "data": [r.tobytes() for r in replies]})
 
@@ -144,8 +143,8 @@ def _send(buckets: int):
 def _resolve(rows: pd.DataFrame) -> pd.DataFrame:
     """For every stretch sent to a bucket, its windows that stand in a document before the block's first with it.
 
-    Equal stretches are one. Where a key has different ones, all windows of them are suffix-sorted within the key, and
-    equal windows share the least document.
+    Equal stretches are one. Where a key has different ones, the windows of them that may be equal are suffix-sorted
+    within the key, and equal windows share the least document.
     """
     asked = [len(k) // 8 for k in rows["keys"]]
     keys = np.frombuffer(b"".join(rows["keys"]), np.uint64)
@@ -171,12 +170,13 @@ def _resolve(rows: pd.DataFrame) -> pd.DataFrame:
     offset = np.append(0, np.cumsum(size))[:-1]
     first_window = np.append(0, np.cumsum(windows))
     local = np.arange(first_window[-1]) - np.repeat(first_window[:-1], windows)
-    order, classes = equal_classes(buffer, np.repeat(offset, windows) + local, np.repeat(group[mixed], windows))
-    holder = np.repeat(least[mixed], windows)
+    places, groups, earliest = np.repeat(offset, windows) + local, np.repeat(group[mixed], windows), np.repeat(least[mixed], windows)
+    # A window whose hash no other window of its key has is equal to none: only the rest is sorted.
+    again = np.flatnonzero(repeated_windows(buffer, places, groups))
+    order, classes = equal_classes(buffer, places[again], groups[again])
     best = np.full(int(classes[-1]) + 1 if len(classes) else 0, LAST)
-    np.minimum.at(best, classes, holder[order])
-    earliest = np.empty(len(order), np.int64)
-    earliest[order] = best[classes]
+    np.minimum.at(best, classes, earliest[again[order]])
+    earliest[again[order]] = best[classes]
     at = np.full(len(names), -1)
     at[mixed] = np.arange(len(mixed))
 
@@ -251,9 +251,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Documents are dealt into blocks by a hash. A block asks, bucket by bucket, which of its window keys other documents
     hold as well; equal windows have equal keys, so all else is left alone. For those it sends the distinct stretches
-    of windows, and the bucket resolves them by a suffix sort: hash-compared, a merge sort, verified by bytes. What a
-    passage in very many documents adds is one stretch for each block, or its windows one by one where they differ at
-    its edges, so no group grows with the number of copies.
+    of windows, and the bucket resolves them by a suffix sort: hash-compared, a merge sort, verified by bytes. Copies
+    of a passage are one stretch for each block. A key with very many runs, such as those at the edges of a passage that
+    a third of all documents hold, is given up for its single windows, each a group by itself with one entry for each
+    block; so no group grows with the number of documents. Rows between blocks and buckets are at most one for each key.
 
     Null texts are empty. A null id counts as later than all others. Documents that share an id leave one another
     alone. Texts shorter than ``SPAN`` bytes keep everything; an empty table gives no rows; extra columns are ignored.
@@ -261,10 +262,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     number = F.col(doc_id).cast("bigint")
     named = docs.select(F.coalesce(number, F.lit(LAST)).alias("own"), number.isNull().alias("unnamed"), text_or_empty(text).alias("text"))
     blocks = max(LEAST_BLOCKS, -(-text_bytes(named, "text") // BLOCK_BYTES))
-    buckets = max(LEAST_BUCKETS, blocks // BLOCKS_PER_BUCKET)
+    buckets = blocks
     dealt = named.withColumn("block", F.pmod(F.xxhash64("own", "text"), F.lit(blocks)).cast("int"))
     by_block = dealt.groupBy("block")
-    asked = by_block.applyInPandas(_ask(buckets), "block int, bucket int, keys binary, several binary")
+    asked = by_block.applyInPandas(_ask(buckets), "block int, bucket int, keys binary, several binary, occurrences binary")
     counted = asked.groupBy("bucket").applyInPandas(_count, REPLY)
     sent = by_block.cogroup(counted.groupBy("block")).applyInPandas(_send(buckets), ASK)
     resolved = sent.groupBy("bucket").applyInPandas(_resolve, REPLY)

@@ -138,6 +138,16 @@ class Suffixes:
         return order
 
 
+def repeated_windows(buffer: bytes, places: np.ndarray, groups: np.ndarray) -> np.ndarray:
+    """Whether the hash of a window's ``SPAN`` bytes comes again within its group."""
+    octets = np.frombuffer(buffer, np.uint8)
+    sums = prefix_sums(octets, powers(len(octets)))
+    hashes = (sums[places + SPAN] - sums[places]) * powers(len(octets) + 1, pow(_BASE, -1, 1 << 64))[places]
+    named = _mixed(hashes) ^ (groups.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    _, back, many = np.unique(named, return_inverse=True, return_counts=True)
+    return many[back] > 1
+
+
 def equal_classes(buffer: bytes, places: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The sorted order of the suffixes and the number of the class of each place in it; equal ``SPAN`` bytes, one class.
 

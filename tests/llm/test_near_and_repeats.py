@@ -147,9 +147,9 @@ def test_repeats_on_edge_cases(edge, nothing):
     assert remove_repeats(nothing).count() == 0
 
 
-@pytest.mark.parametrize("hot", [48, 1])
+@pytest.mark.parametrize("hot", [50_000, 1])
 def test_repeats_of_a_corpus(corpus, texts, monkeypatch, hot):
-    monkeypatch.setattr(substrings, "HOT_BLOCKS", hot)
+    monkeypatch.setattr(substrings, "HOT_RUNS", hot)
     rows = remove_repeats(corpus, keep_text=True).collect()
     assert sorted((tuple(r)[:5] for r in rows), key=str) == plain_repeats(texts.items())
     assert all(hashlib.sha256(bytes(r["kept"])).hexdigest() == r["kept_sha256"] for r in rows)
