@@ -46,10 +46,11 @@ def item_sketches(shingles: DataFrame, threshold: float) -> DataFrame:
     holds at least one hash of the sketch: nothing is missed.
     """
     sized = shingles.withColumn("partition", F.floor(F.log2("n_item")).cast("int"))
-    largest = F.max("n_item").over(Window.partitionBy("partition"))
-    length = largest - F.ceil(largest * F.lit(threshold) - EPSILON) + 1
+    largest = sized.groupBy("partition").agg(F.max("n_item").alias("largest"))
+    length = F.col("largest") - F.ceil(F.col("largest") * F.lit(threshold) - EPSILON) + 1
     place = F.row_number().over(Window.partitionBy("item_id").orderBy("hash", "shingle"))
-    return sized.withColumns({"length": length, "place": place}).filter("place <= length").select("partition", "item_id", "hash")
+    placed = sized.withColumn("place", place).join(largest, "partition")
+    return placed.filter(F.col("place") <= length).select("partition", "item_id", "hash")
 
 
 def contained_items(
