@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from martloom.llm import packing, quality, secrets
 from martloom.llm.decontaminate import contained_items, drop_contaminated
-from martloom.llm.language_model import score_documents
+from martloom.llm.language_model import packed, score_documents, unpacked
 from martloom.llm.licenses import BASE_PHRASES, license_scan, signature_rules
 from martloom.llm.packing import cut, pack
 from martloom.llm.simhash import exact_scheme, near_duplicates
@@ -249,3 +249,8 @@ def test_bigram_table_is_json(spark):
     words = spark.createDataFrame([("secret",), ("ab",)], "run string")
     got = words.select(F.to_json(secrets._bigrams(words)).alias("t")).head()["t"]
     assert set(json.loads(got)) == {"se", "ec", "cr", "re", "et", "ab"}
+
+
+def test_packed_numbers_come_back():
+    for numbers in ([], [0], [5], [0, 1, 7, (1 << 64) - 1], [1 << 63, (1 << 63) + 256]):
+        assert unpacked(packed(np.array(numbers, np.uint64))).tolist() == numbers
