@@ -14,6 +14,9 @@ def landing_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+CORRUPT = "_corrupt_record"
+
+
 def latest_file(spark: SparkSession, folder: str) -> str:
     """The last file by name. Lists the folder; the contents are not read."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
@@ -23,9 +26,33 @@ def latest_file(spark: SparkSession, folder: str) -> str:
     return last
 
 
-def read_landing(
-    spark: SparkSession, folder: str, columns: Sequence[str], latest_only: bool = False
-) -> DataFrame:
-    """All landed files with the declared columns, or only the last file. A missing folder is an error."""
+def parsed(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Lines of text with the declared columns of the object on each, or the line as ``CORRUPT``; blank lines go."""
+    schema = landing_schema([*columns, CORRUPT])
+    record = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return lines.filter(F.trim("value") != "").withColumn("_record", record)
+
+
+def well_formed(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
+    rows = parsed(lines, columns).filter(F.col("_record")[CORRUPT].isNull())
+    return rows.select([F.col("_record")[c].alias(c) for c in columns])
+
+
+def _lines(spark: SparkSession, folder: str, latest_only: bool) -> DataFrame:
     where = latest_file(spark, folder) if latest_only else folder
-    return spark.read.schema(landing_schema(columns)).option("recursiveFileLookup", "true").json(where)
+    return spark.read.option("recursiveFileLookup", "true").text(where)
+
+
+def read_landing(spark: SparkSession, folder: str, columns: Sequence[str], latest_only: bool = False) -> DataFrame:
+    """All landed files with the declared columns, or only the last file. A missing folder is an error.
+
+    Lines that are no JSON object are left out; ``landing_rejects`` has them.
+    """
+    return well_formed(_lines(spark, folder, latest_only), columns)
+
+
+def landing_rejects(spark: SparkSession, folder: str, columns: Sequence[str], latest_only: bool = False) -> DataFrame:
+    """The landed lines that do not parse, as they are (``line``), with the ``file`` they stand in."""
+    lines = _lines(spark, folder, latest_only).select("value", F.col("_metadata.file_path").alias("file"))
+    rows = parsed(lines, columns).filter(F.col("_record")[CORRUPT].isNotNull())
+    return rows.select(F.col("value").alias("line"), "file")

@@ -7,16 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from martloom.sources.landing import landing_schema
+from martloom.sources.landing import well_formed
 
 
 def landing_stream(
     spark: SparkSession, folder: str, columns: Sequence[str], files_per_trigger: int | None = None
 ) -> DataFrame:
-    reader = spark.readStream.schema(landing_schema(columns)).option("recursiveFileLookup", "true")
+    """Rows that land, without lines that are no JSON object (``landing_rejects`` has them)."""
+    reader = spark.readStream.option("recursiveFileLookup", "true")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.json(folder)
+    return well_formed(reader.text(folder), columns)
 
 
 def ingest_landing(rows: DataFrame, target: str, checkpoint: str) -> StreamingQuery:

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from martloom.context import AUDIT_FIELDS, RunContext
 from martloom.operators import history as H
 from martloom.session import scratch_path
-from martloom.sources.landing import read_landing
+from martloom.sources.landing import landing_rejects, read_landing
 from martloom.sources.state import HistoryTable
 from martloom.streaming.history import stream_history
 from martloom.streaming.landing import ingest_landing, landing_stream
@@ -36,6 +36,16 @@ def test_each_landed_file_is_taken_once(spark, rows):
     assert ingest() == rows(read_landing(spark, f"{base}/landing", COLUMNS)) == [("a", "1"), ("a", "3"), ("b", "2")]
 
 
+def test_lines_that_do_not_parse_are_told(spark, rows):
+    base = scratch_path(spark, "test-landing")
+    good, bad = '{"k": "a", "payload": "1"}', '{"k":"2"'
+    spark.createDataFrame([(good,), (bad,), ("no json",)], "value string").write.text(f"{base}/landing")
+    assert rows(read_landing(spark, f"{base}/landing", COLUMNS)) == [("a", "1")]
+    assert rows(landing_rejects(spark, f"{base}/landing", COLUMNS), "line") == [("no json",), (bad,)]
+    ingest_landing(landing_stream(spark, f"{base}/landing", COLUMNS), f"{base}/table", f"{base}/check").awaitTermination()
+    assert rows(spark.read.parquet(f"{base}/table")) == [("a", "1")]
+
+
 def test_streamed_history_equals_batches(spark, rows):
     base = scratch_path(spark, "test-stream")
     table = HistoryTable(spark, f"{base}/history", SCHEMA, "k")
