@@ -238,6 +238,8 @@ SELECT o_custkey AS k, o_orderpriority AS payload, CASE o_orderstatus WHEN 'F' T
        CAST(o_orderdate AS DATE) AS created_day, CASE o_orderstatus WHEN 'O' THEN CAST(1 AS BIGINT) ELSE CAST(2 AS BIGINT) END AS exec_id
 FROM orders"""
 
+INPUTS["in_whole_stage"] = "SELECT c_custkey * 2 AS k, c_mktsegment AS payload FROM customer"
+
 INPUTS["in_stage"] = "SELECT c_custkey * 2 AS k, c_mktsegment AS payload FROM customer WHERE c_acctbal > 4500"
 
 INPUTS["in_export_product"] = f"""

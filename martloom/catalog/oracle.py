@@ -378,7 +378,7 @@ BODIES["template_params"] = plain(
     f"SELECT prod_id, prod_nm, prod_typ, lst_pblsh_dt FROM in_prod WHERE lst_pblsh_dt > {SINCE} AND prod_typ IN ('COMPETITOR', 'OWN')",
     "lst_pblsh_dt",
 )
-BODIES["stage_snapshot"] = "SELECT k, payload FROM in_stage"
+BODIES["stage_snapshot"] = "SELECT k, payload FROM in_whole_stage"
 BODIES["bulk_replicate"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows, COUNT(*) AS n_reported FROM {t}" for t in GIVEN
 )
@@ -395,7 +395,7 @@ FROM in_landed_group_ids"""
 BODIES["export_csv_roundtrip"] = EXPORT_GROUP
 BODIES["export_tsv_roundtrip"] = SPEND_EXPORT
 
-BODIES["audit_stamp"] = f"SELECT k, payload, {AUDIT} FROM in_stage"
+BODIES["audit_stamp"] = f"SELECT k, payload, {AUDIT} FROM in_whole_stage"
 BODIES["incremental_window"] = f"""
 SELECT Id, Participant_ToV_Updated_Date_MERC__c AS updated, mode
 FROM in_meeting, (VALUES ('instant'), ('text')) v(mode) WHERE {IN_WINDOW}"""
@@ -471,7 +471,8 @@ BODIES["latest_end"] = plain(
     "end_dt start_dt",
 )
 BODIES["dedup_rows"] = plain(
-    "SELECT DISTINCT prod_grp_id, indctn_id, cntry_cd, end_dt, prod_grp_typ FROM in_indication", "end_dt"
+    "SELECT DISTINCT * FROM in_indication",
+    "apprvl_dt revoke_dt start_dt end_dt crt_dt updt_dt lst_pblsh_dt cease_pblsh_dt",
 )
 
 BODIES["feed_sample_edu"] = plain(SAMPLE, FEED_DATES)
@@ -523,7 +524,7 @@ BODIES["export_indication"] = (
 )
 
 BODIES["history_close"] = f"SELECT * FROM {closed(stamp=True)} c"
-BODIES["history_apply"] = f"SELECT * FROM {closed(stamp=False)} c UNION ALL SELECT k, payload, {AUDIT} FROM in_stage"
+BODIES["history_apply"] = f"SELECT * FROM {closed(stamp=False)} c UNION ALL SELECT k, payload, {AUDIT} FROM in_whole_stage"
 BODIES["history_rollback"] = f"SELECT * FROM {closed(stamp=False)} c"
 BODIES["incremental_run"] = f"""
 WITH earlier AS ({WINDOWED} > '{AFTER}' AND Participant_ToV_Updated_Date_MERC__c <= '{BETWEEN}'),

@@ -190,7 +190,7 @@ def template_params(i: Inputs) -> DataFrame:
 @query("stage_snapshot")
 def stage_snapshot(i: Inputs) -> DataFrame:
     target = Folder(scratch_path(i.spark, "stage"))
-    staged = i["in_stage"].toDF("K", "Payload")
+    staged = i["in_whole_stage"].toDF("K", "Payload")
     write_stage(staged.withColumn("Payload", F.lit("previous run")), target, "stage")
     write_stage(staged, target, "stage")
     return read_table(i.spark, target, "stage")
@@ -260,7 +260,7 @@ def export_tsv_roundtrip(i: Inputs) -> DataFrame:
 
 @query("audit_stamp")
 def audit_stamped(i: Inputs) -> DataFrame:
-    return audit_stamp(i["in_stage"], RUN)
+    return audit_stamp(i["in_whole_stage"], RUN)
 
 
 
@@ -416,7 +416,7 @@ def latest_end(i: Inputs) -> DataFrame:
 
 @query("dedup_rows")
 def dedup_rows(i: Inputs) -> DataFrame:
-    return i["in_indication"].select("prod_grp_id", "indctn_id", "cntry_cd", "end_dt", "prod_grp_typ").distinct()
+    return i["in_indication"].distinct()
 
 
 # Feeds and staging
@@ -599,7 +599,7 @@ def stream_landing(i: Inputs) -> DataFrame:
     columns = ["event_id", "user_id", "event_type", "value"]
     day = F.col("ts").cast("date")
     middle = F.lit("2024-01-15").cast("date")
-    for part, wanted in (("first", day <= middle), ("second", day > middle)):
+    for part, wanted in (("first", day <= middle), ("second", day.isNull() | (day > middle))):
         landed = all_text(i.given("events").filter(wanted).select(columns))
         landed.write.json(f"{base}/landing/{part}")
         rows = landing_stream(i.spark, f"{base}/landing", columns)
