@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from edge_cases import TEXTS
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -17,8 +18,6 @@ def plain(text):
 
 
 def test_groups_and_winners(edge):
-    from conftest import TEXTS
-
     rows = exact_duplicates(edge).collect()
     assert len(rows) == len(TEXTS)
     groups = defaultdict(list)
@@ -40,8 +39,6 @@ def test_the_split_changes_no_row(corpus, support):
 
 
 def test_dropping_keeps_columns_and_one_row_a_group(edge):
-    from conftest import TEXTS
-
     left = drop_exact_duplicates(edge)
     assert left.columns == edge.columns
     found = [(r["doc_id"], plain(r["text"])) for r in left.collect()]
@@ -60,8 +57,6 @@ def test_permutation_is_a_bijection(total, seed):
 
 
 def test_shards(edge):
-    from conftest import TEXTS
-
     rows = shard(edge, 8).collect()
     slots = defaultdict(list)
     for r in rows:

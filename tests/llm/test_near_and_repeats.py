@@ -54,8 +54,6 @@ def check_near(df, rows):
 
 
 def test_near_duplicates_on_edge_cases(edge):
-    from conftest import TEXTS
-
     check_near(edge, TEXTS)
 
 
@@ -141,8 +139,6 @@ def plain_repeats(rows):
 
 
 def test_repeats_on_edge_cases(edge, nothing):
-    from conftest import TEXTS
-
     assert sorted((tuple(r) for r in remove_repeats(edge).collect()), key=str) == plain_repeats(TEXTS)
     assert remove_repeats(nothing).count() == 0
 

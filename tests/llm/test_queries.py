@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from conftest import FOLDER
+from edge_cases import FOLDER
 
 import __spark_entry__ as contract
 import corpus_pipeline

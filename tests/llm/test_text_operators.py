@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import FOLDER, TEXTS
+from edge_cases import FOLDER, TEXTS
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
