@@ -187,9 +187,14 @@ def _detections(words: Column, rules: Column) -> Column:
 
         return F.filter(found, lambda d: ~F.exists(found, lambda e: contained(d, e)))
 
+    def first_seen(found: Column, anchor: Column) -> Column:
+        """A detection with several anchors is taken at the first of them."""
+        return F.filter(found, lambda d: (d["start"] == anchor) | ~F.exists(F.sequence(d["start"], anchor - 1), is_anchor))
+
     anchors = F.filter(F.sequence(F.lit(0), F.size(words) - 1), is_anchor)
-    each = F.transform(F.transform(anchors, around), unsuppressed)
-    return F.when(F.size(words) > 0, F.array_distinct(F.flatten(each)))
+    found = F.transform(anchors, lambda i: F.struct(i.alias("anchor"), around(i).alias("found")))
+    each = F.transform(found, lambda f: first_seen(unsuppressed(f["found"]), f["anchor"]))
+    return F.when(F.size(words) > 0, F.flatten(each))
 
 
 def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -135,6 +135,7 @@ def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path:
     covered = runs.join(known.withColumn("known", F.lit(1)), "run", "left").groupBy("value").agg(
         (F.sum(F.when(F.col("known") == 1, F.length("run")).otherwise(0)) / F.max(F.length("value"))).alias("coverage")
     )
+    covered = stored(covered, "coverage")
     value, lower = F.col("value"), F.lower("value")
     length = F.length(value)
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(value, "[^A-Za-z0-9]", "-"), "[a-z]", "a"), "[A-Z]", "A"), "[0-9]", "0")

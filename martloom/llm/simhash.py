@@ -11,7 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.bits import spanning_links
@@ -25,7 +25,7 @@ _WHITE = re.compile(rb"[\x20\x09-\x0D]")
 #: Fingerprints that one task compares with one another at a time; larger buckets are split into pairs of chunks.
 GROUP = 4096
 #: Rows of small groups that are compared in one go.
-TILE = 1024
+TILE = 256
 
 
 @dataclass(frozen=True)
@@ -154,35 +154,33 @@ def near_links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
         usual = usual.unionByName(split.select("node", *names, pair.alias("bucket")))
 
     def compared(rows: pd.DataFrame) -> list[tuple[int, int]]:
-        prints = np.ascontiguousarray(rows[names].to_numpy(np.int64)).view(np.uint64)
-        nodes_of = rows["node"].to_numpy()
-        return [(int(nodes_of[a]), int(nodes_of[b])) for a, b in spanning_links(prints, scheme.radius)]
+        """Links within the buckets of sorted rows; neighbouring small buckets are compared in one tile."""
+        buckets = rows["bucket"].to_numpy()
+        starts = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1]))
+        sizes = np.diff(np.append(starts, len(buckets)))
+        several = np.repeat(sizes > 1, sizes)
+        prints = np.ascontiguousarray(rows[names].to_numpy(np.int64)[several]).view(np.uint64)
+        nodes_of = rows["node"].to_numpy()[several].tolist()
+        edges = np.append(0, np.cumsum(sizes[sizes > 1]))
+        links, at = [], 0
+        while at < len(edges) - 1:
+            end = max(at + 1, int(np.searchsorted(edges, edges[at] + TILE, side="right")) - 1)
+            low, at = int(edges[at]), end
+            links += [(nodes_of[low + a], nodes_of[low + b]) for a, b in spanning_links(prints[low : int(edges[end])], scheme.radius)]
+        return links
 
     def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest, waiting, size = None, [], 0
-        for batch in itertools.chain(batches, [None]):
-            links = []
-            if batch is not None:
-                rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-                keys_now = rest["bucket"].to_numpy()
-                cut = int(np.searchsorted(keys_now, keys_now[-1])) if len(keys_now) else 0
-                whole, rest = rest.iloc[:cut], rest.iloc[cut:]
-            else:
-                whole, rest = rest, None
-            if whole is not None and len(whole):
-                values = whole["bucket"].to_numpy()
-                starts = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
-                lengths = np.diff(np.append(starts, len(values)))
-                for start, length in zip(starts[lengths > 1].tolist(), lengths[lengths > 1].tolist(), strict=True):
-                    waiting.append(whole.iloc[start : start + length])
-                    size += length
-                    if size >= TILE:
-                        links += compared(pd.concat(waiting))
-                        waiting, size = [], 0
-            if batch is None and waiting:
-                links += compared(pd.concat(waiting))
-            if links:
-                yield pd.DataFrame(links, columns=["a", "b"])
+        """Whole buckets go on; the last one of a batch waits for the next batch."""
+        rest = None
+        for batch in batches:
+            rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            if len(rest):
+                buckets = rest["bucket"].to_numpy()
+                cut = int(np.searchsorted(buckets, buckets[-1]))
+                yield pd.DataFrame(compared(rest.iloc[:cut]), columns=["a", "b"], dtype="int64")
+                rest = rest.iloc[cut:]
+        if rest is not None and len(rest):
+            yield pd.DataFrame(compared(rest), columns=["a", "b"], dtype="int64")
 
     ordered = usual.repartition("bucket").sortWithinPartitions("bucket", "node")
     return ordered.mapInPandas(linked, "a long, b long")
@@ -202,9 +200,12 @@ def near_duplicates(docs: DataFrame, scheme: Scheme, doc_id: str = "doc_id", tex
     rows = stored(fingerprints(docs, scheme, doc_id, text), "fingerprints")
     distinct = rows.groupBy(*names).agg(F.min("doc_id").alias("least"))
     nodes = stored(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    found = components(near_links(nodes, scheme))
-    member = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = member.withColumn("component_id", F.min("least").over(Window.partitionBy("component")))
+    linked = stored(nodes.join(components(near_links(nodes, scheme)), "node").select("node", "least", "component"), "members")
+    # Stored, so that the join after it has two plain shuffles, of which Spark splits a component with very many nodes.
+    smallest = stored(linked.groupBy("component").agg(F.min("least").alias("component_id")), "components")
+    named = nodes.join(linked.join(smallest, "component").select("node", "component_id"), "node", "left").select(
+        *names, F.coalesce("component_id", "least").alias("component_id")
+    )
     return rows.join(named.select(*names, "component_id"), names).select("doc_id", *names, "component_id")
 
 
