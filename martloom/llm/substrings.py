@@ -71,10 +71,11 @@ class Block:
             here = self.at[at : at + len(keys)]
             at += len(keys)
             text, own = self.texts[number], int(self.ids[number])
-            for k in np.flatnonzero(marks[here]).tolist():
-                start, end = int(starts[k]), int(ends[k])
-                if marks[here[k]] == 1:
-                    parts = [(start, end, (int(keys[k]), text[start : end + SPAN - 1]))]
+            marked = np.flatnonzero(marks[here])
+            runs = zip(starts[marked].tolist(), ends[marked].tolist(), keys[marked].tolist(), marks[here[marked]].tolist(), strict=True)
+            for start, end, key, mark in runs:
+                if mark == 1:
+                    parts = [(start, end, (key, text[start : end + SPAN - 1]))]
                 else:
                     parts = []
                     for p in range(start, end):
@@ -87,7 +88,7 @@ class Block:
         names = list(first)
         keys = np.array([n[0] for n in names], np.uint64)
         bucket = _bucket_of(keys, self.buckets)
-        order = sorted(range(len(names)), key=lambda i: (bucket[i], names[i]))
+        order = sorted(range(len(names)), key=list(zip(bucket.tolist(), names, strict=True)).__getitem__)
         return [names[i] for i in order], [first[names[i]] for i in order], bucket[order], found
 
 
@@ -179,11 +180,16 @@ def _resolve(rows: pd.DataFrame) -> pd.DataFrame:
     earliest[again[order]] = best[classes]
     at = np.full(len(names), -1)
     at[mixed] = np.arange(len(mixed))
+    # The least document of any window of a stretch: most stretches have no window in an earlier one.
+    reach = least.copy()
+    if len(mixed):
+        reach[mixed] = np.minimum.reduceat(earliest, first_window[:-1])
+    concerned = reach[which] < firsts
 
     out, done = [], 0
     for block, bucket, n in zip(rows["block"], rows["bucket"], asked, strict=True):
         spans = []
-        for i in range(n):
+        for i in np.flatnonzero(concerned[done : done + n]).tolist():
             name, mine = which[done + i], firsts[done + i]
             if least[name] < mine:
                 spans.append((i, 0, lengths[done + i] - SPAN + 1))
