@@ -1,11 +1,14 @@
-"""SimHash near-duplicates: fingerprints of word shingles, compared bit-sliced within buckets, joined to components."""
+"""SimHash near-duplicates: fingerprints of word shingles, compared bit-sliced within buckets, joined to components.
+
+Where a similarity is asked for, the fingerprints only name candidates; the shingle sets decide about their links.
+"""
 
 from __future__ import annotations
 
 import itertools
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,11 +17,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.bits import spanning_links
+from martloom.llm.bits import QUERIES, near, planes, spanning_links
 from martloom.llm.common import stored, text_or_empty
 from martloom.llm.graph import components
 
 SEED = 42
+#: Keeps products such as 0.8 * 35 from being rounded past a whole number.
+EPSILON = 1e-9
 #: Bytes of a text that are split into words at a time.
 BLOCK = 1 << 20
 _WHITE = re.compile(rb"[\x20\x09-\x0D]")
@@ -26,16 +31,24 @@ _WHITE = re.compile(rb"[\x20\x09-\x0D]")
 GROUP = 4096
 #: Rows of small groups that are compared in one go.
 TILE = 256
+#: Standard deviations of the distance at the limit by which the radius of candidates is above its mean.
+MARGIN = 4
+#: Bytes of shingle sets that a task verifies against one another at a time, beside at most ``GROUP`` sets.
+SET_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
 class Scheme:
-    """Shingle length, 64-bit words in a fingerprint, radius in bits, and the bits on which a bucket agrees, one mask each."""
+    """Shingle length, 64-bit words in a fingerprint, radius in bits, and the bits on which a bucket agrees, one mask each.
+
+    With a ``similarity`` fingerprints are taken over distinct shingles, and a link needs that Jaccard similarity of the sets.
+    """
 
     shingle_words: int
     words: int
     radius: int
     masks: tuple[tuple[int, ...], ...]
+    similarity: float | None = None
 
 
 def exact_scheme(shingle_words: int = 3, radius: int = 3) -> Scheme:
@@ -46,19 +59,27 @@ def exact_scheme(shingle_words: int = 3, radius: int = 3) -> Scheme:
 
 
 def similarity_scheme(similarity: float = 0.8, shingle_words: int = 5, words: int = 4, band_bits: int = 16, recall: float = 0.95) -> Scheme:
-    """For shingle sets of a Jaccard similarity: two sets of one size with it differ in so many bits on average.
+    """Links between shingle sets of a Jaccard similarity of at least ``similarity``, found by 64 * ``words`` bits.
 
-    The buckets agree on ``band_bits`` bits drawn anew for each; there are as many as find a pair at the limit with the
-    wanted probability. Pairs above it are found more surely.
+    The bits of two sets of one size at the limit differ independently with one probability. The radius is ``MARGIN``
+    standard deviations above the mean distance, and the buckets, which agree on ``band_bits`` bits drawn anew for each,
+    are as many as find such a pair with the wanted probability over all its distances. Pairs above the limit are found
+    more surely; pairs below it are candidates at most.
     """
+    bits = 64 * words
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    bands = math.ceil(math.log(1 - recall) / math.log(1 - (1 - share) ** band_bits))
+    radius = round(share * bits + MARGIN * math.sqrt(bits * share * (1 - share)))
+    chances = [math.comb(bits, d) * share**d * (1 - share) ** (bits - d) for d in range(radius + 1)]
+    agree = [math.comb(bits - d, band_bits) / math.comb(bits, band_bits) for d in range(radius + 1)]
+    bands = 1
+    while sum(c * (1 - (1 - a) ** bands) for c, a in zip(chances, agree, strict=True)) < min(recall, 0.999 * sum(chances)):
+        bands += 1
     draw = np.random.default_rng(SEED)
     masks = []
     for _ in range(bands):
-        chosen = draw.choice(64 * words, band_bits, replace=False)
+        chosen = draw.choice(bits, band_bits, replace=False)
         masks.append(tuple(sum(1 << int(b % 64) for b in chosen if b // 64 == w) for w in range(words)))
-    return Scheme(shingle_words, words, round(share * 64 * words), tuple(masks))
+    return Scheme(shingle_words, words, radius, tuple(masks), similarity)
 
 
 def _shingle_hashes(text: bytes, size: int) -> Iterator[np.ndarray]:
@@ -91,10 +112,14 @@ def _more_words(hashes: np.ndarray, words: int) -> np.ndarray:
     return np.stack(columns, axis=1)
 
 
-def fingerprint(text: str, shingle_words: int, words: int) -> np.ndarray:
-    """Bits set in over half of the shingle hashes, as unsigned 64-bit words; zero without a word."""
+def shingle_set(text: str, shingle_words: int) -> np.ndarray:
+    """Sorted distinct shingle hashes."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *_shingle_hashes(text.encode(), shingle_words)]))
+
+
+def _majority(blocks: Iterable[np.ndarray], words: int) -> np.ndarray:
     total, counts = 0, np.zeros(64 * words, np.int64)
-    for hashes in _shingle_hashes(text.encode(), shingle_words):
+    for hashes in blocks:
         for at in range(0, len(hashes), 1 << 14):
             wide = np.ascontiguousarray(_more_words(hashes[at : at + (1 << 14)], words))
             counts += np.unpackbits(wide.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
@@ -102,18 +127,42 @@ def fingerprint(text: str, shingle_words: int, words: int) -> np.ndarray:
     return np.packbits(2 * counts > total, bitorder="little").view(np.uint64)
 
 
+def fingerprint(text: str, shingle_words: int, words: int) -> np.ndarray:
+    """Bits set in over half of the shingle hashes, as unsigned 64-bit words; zero without a word."""
+    return _majority(_shingle_hashes(text.encode(), shingle_words), words)
+
+
+def _set_mark(hashes: np.ndarray) -> int:
+    """A signed hash of a shingle set."""
+    return int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)).astype(np.int64))
+
+
 def _parts(scheme: Scheme) -> list[str]:
     return [f"f{w}" for w in range(scheme.words)]
 
 
+def _keys(scheme: Scheme) -> list[str]:
+    """Columns on which the rows of a node agree."""
+    return _parts(scheme) + (["same"] if scheme.similarity is not None else [])
+
+
 def fingerprints(docs: DataFrame, scheme: Scheme, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id`` and the fingerprint's words ``f0, f1, ...`` (signed) of every row."""
-    names = _parts(scheme)
+    """``doc_id`` and the fingerprint's words ``f0, f1, ...`` (signed) of every row.
+
+    A scheme with a similarity adds ``same``, a hash of the shingle set.
+    """
+    names = _keys(scheme)
+
+    def made_of(content: str) -> np.ndarray:
+        if scheme.similarity is None:
+            return fingerprint(content, scheme.shingle_words, scheme.words).view(np.int64)
+        hashes = shingle_set(content, scheme.shingle_words)
+        return np.append(_majority([hashes], scheme.words).view(np.int64), _set_mark(hashes))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            prints = [fingerprint(content, scheme.shingle_words, scheme.words).view(np.int64) for content in batch["text"]]
-            found = pd.DataFrame(np.array(prints, np.int64).reshape(-1, scheme.words), columns=names)
+            prints = [made_of(content) for content in batch["text"]]
+            found = pd.DataFrame(np.array(prints, np.int64).reshape(-1, len(names)), columns=names)
             found.insert(0, "doc_id", batch["doc_id"].to_numpy())
             yield found
 
@@ -169,6 +218,12 @@ def near_links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
             links += [(nodes_of[low + a], nodes_of[low + b]) for a, b in spanning_links(prints[low : int(edges[end])], scheme.radius)]
         return links
 
+    return _by_bucket(usual, compared)
+
+
+def _by_bucket(rows: DataFrame, compared: Callable[[pd.DataFrame], list[tuple[int, int]]]) -> DataFrame:
+    """Links ``a, b`` that ``compared`` finds in sorted rows of whole buckets."""
+
     def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Whole buckets go on; the last one of a batch waits for the next batch."""
         rest = None
@@ -182,10 +237,75 @@ def near_links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
         if rest is not None and len(rest):
             yield pd.DataFrame(compared(rest), columns=["a", "b"], dtype="int64")
 
-    ordered = usual.repartition("bucket").sortWithinPartitions("bucket", "node")
+    ordered = rows.repartition("bucket").sortWithinPartitions("bucket", "node")
     return ordered.mapInPandas(linked, "a long, b long")
 
 
+def shingle_sets(docs: DataFrame, nodes: DataFrame, scheme: Scheme, doc_id: str, text: str) -> DataFrame:
+    """``same`` and ``hashes``, the sorted shingle hashes as bytes, of the documents that ``least`` of ``nodes`` names."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [shingle_set(content, scheme.shingle_words) for content in batch["text"]]
+            yield pd.DataFrame({"same": np.array([_set_mark(s) for s in sets], np.int64), "hashes": [s.tobytes() for s in sets]})
+
+    wanted = nodes.select(F.col("least").alias("wanted")).distinct()
+    named = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
+    texts = named.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
+    return texts.mapInPandas(rows, "same long, hashes binary").groupBy("same").agg(F.first("hashes").alias("hashes"))
+
+
+def similar_links(members: DataFrame, scheme: Scheme) -> DataFrame:
+    """Links ``a, b`` between ``members`` (``node``, words, ``hashes``, ``component``) of the wanted similarity.
+
+    Every pair of a component within the radius is decided by the Jaccard similarity of its sets, unless links found
+    before it in the task join it already. Large components are dealt into chunks and pairs of them, like large buckets.
+    """
+    names = _parts(scheme)
+    kept = members.select("node", *names, "hashes", "component")
+    sizes = kept.groupBy("component").agg(F.count("*").alias("n"), F.sum(F.octet_length("hashes")).alias("bytes"))
+    chunks = F.greatest(F.ceil(F.col("n") * 2 / GROUP), F.ceil(F.col("bytes") * 2 / SET_BYTES), F.lit(1)).cast("int")
+    large = stored(sizes.withColumn("chunks", chunks).filter("chunks > 1").select("component", "chunks"), "large")
+    usual = kept.withColumnRenamed("component", "bucket")
+    if large.count():
+        usual = usual.join(large.select(F.col("component").alias("bucket")), "bucket", "left_anti").select("node", *names, "hashes", "bucket")
+        mine = F.pmod(F.xxhash64("node"), "chunks")
+        other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+        split = kept.join(large, "component").select("node", *names, "hashes", "component", mine.alias("mine"), other.alias("other"))
+        pair = F.xxhash64("component", F.least("mine", "other"), F.greatest("mine", "other"))
+        usual = usual.unionByName(split.select("node", *names, "hashes", pair.alias("bucket")))
+
+    def compared(rows: pd.DataFrame) -> list[tuple[int, int]]:
+        buckets, nodes = rows["bucket"].to_numpy(), rows["node"].tolist()
+        prints = np.ascontiguousarray(rows[names].to_numpy(np.int64)).view(np.uint64)
+        sets = [np.frombuffer(h, np.uint64) for h in rows["hashes"]]
+        edges = [*np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])).tolist(), len(buckets)] if len(buckets) else [0]
+        links = []
+        for low, high in itertools.pairwise(edges):
+            links += [(nodes[low + a], nodes[low + b]) for a, b in verified_links(prints[low:high], sets[low:high], scheme.radius, scheme.similarity)]
+        return links
+
+    return _by_bucket(usual, compared)
+
+
+def verified_links(prints: np.ndarray, sets: list[np.ndarray], radius: int, similarity: float) -> list[tuple[int, int]]:
+    """Links that join whatever pairs within the radius and of the similarity join, as few as that takes."""
+    n, links = len(sets), []
+    sliced, counts, top = planes(prints), np.array([len(s) for s in sets]), np.arange(n)
+    for at in range(0, n, QUERIES):
+        found = near(prints[at : at + QUERIES], sliced, radius)
+        for a in range(at, min(at + QUERIES, n)):
+            others = np.flatnonzero(np.unpackbits(found[a - at].view(np.uint8), bitorder="little")[:a])
+            fewer, more = np.minimum(counts[others], counts[a]), np.maximum(counts[others], counts[a])
+            for b in others[fewer >= similarity * more - EPSILON].tolist():
+                if top[a] != top[b]:
+                    both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                    if both >= similarity * (counts[a] + counts[b] - both) - EPSILON:
+                        top[top == top[a]] = top[b]
+                        links.append((b, a))
+    return links
+
+
 def near_duplicates(docs: DataFrame, scheme: Scheme, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id, f0, ..., component_id``, the smallest id that links reach.
 
@@ -195,18 +315,26 @@ def near_duplicates(docs: DataFrame, scheme: Scheme, doc_id: str = "doc_id", tex
 
     Null texts are empty texts. Null ids get the component of their fingerprint, and do not name one unless all ids of a
     component are null. Repeated rows give repeated results; an empty table gives no rows; extra columns are ignored.
+
+    With a similarity a node is a shingle set. The links of fingerprints name components of candidates only; their sets
+    are read again, and only pairs of the similarity (by 64-bit hashes of the shingles) are linked.
     """
-    names = _parts(scheme)
+    names, keys = _parts(scheme), _keys(scheme)
     rows = stored(fingerprints(docs, scheme, doc_id, text), "fingerprints")
-    distinct = rows.groupBy(*names).agg(F.min("doc_id").alias("least"))
+    distinct = rows.groupBy(*keys).agg(F.min("doc_id").alias("least"))
     nodes = stored(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    linked = stored(nodes.join(components(near_links(nodes, scheme)), "node").select("node", "least", "component"), "members")
+    groups = components(near_links(nodes, scheme))
+    if scheme.similarity is not None:
+        candidates = stored(nodes.join(groups, "node"), "candidates")
+        members = stored(candidates.join(shingle_sets(docs, candidates, scheme, doc_id, text), "same"), "sets")
+        groups = components(similar_links(members, scheme))
+    linked = stored(nodes.join(groups, "node").select("node", "least", "component"), "members")
     # Stored, so that the join after it has two plain shuffles, of which Spark splits a component with very many nodes.
     smallest = stored(linked.groupBy("component").agg(F.min("least").alias("component_id")), "components")
     named = nodes.join(linked.join(smallest, "component").select("node", "component_id"), "node", "left").select(
-        *names, F.coalesce("component_id", "least").alias("component_id")
+        *keys, F.coalesce("component_id", "least").alias("component_id")
     )
-    return rows.join(named.select(*names, "component_id"), names).select("doc_id", *names, "component_id")
+    return rows.join(named.select(*keys, "component_id"), keys).select("doc_id", *names, "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, scheme: Scheme | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -104,6 +104,63 @@ def test_similar_documents_share_a_component(corpus, texts):
     assert not any(far)
 
 
+def pairs_at(similarity, n_pairs, seed, n=400):
+    """Texts 2k and 2k + 1 with ``n`` five-word shingles each and the least Jaccard similarity from ``similarity`` on."""
+    draw = np.random.default_rng(seed)
+    shared = next(c for c in range(n + 1) if c >= similarity * (2 * n - c))
+    word = lambda size: [f"w{x}" for x in draw.integers(0, 1 << 40, size)]
+    texts = []
+    for _ in range(n_pairs):
+        base = word(shared + 4)
+        texts += [" ".join(base + word(n - shared)) for _ in range(2)]
+    return texts
+
+
+@pytest.mark.parametrize("group", [4096, 4])
+def test_pairs_at_the_limit_are_found_and_those_below_are_not(spark, monkeypatch, group):
+    monkeypatch.setattr(simhash, "GROUP", group)
+    at, above, below = pairs_at(0.8, 150, 1), pairs_at(0.83, 150, 2), pairs_at(0.78, 60, 3) + pairs_at(0.795, 60, 4)
+    texts = at + above + below
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs, similarity_scheme()).collect()}
+    linked = [found[2 * k] == found[2 * k + 1] for k in range(len(texts) // 2)]
+    assert sum(linked[:150]) >= 0.9 * 150
+    assert sum(linked[150:300]) >= 0.95 * 150
+    assert not any(linked[300:])
+    assert all(found[i] // 2 == i // 2 for i in found)
+
+
+def test_a_repeated_line_makes_no_near_duplicates(spark):
+    line = "= = = = = " * 400
+    docs = [(k, line + " ".join(f"w{k}x{n}" for n in range(60))) for k in range(4)]
+    found = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), similarity_scheme()).collect()
+    assert all(r["doc_id"] == r["component_id"] for r in found)
+
+
+@pytest.mark.parametrize("group", [4096, 8])
+def test_similarities_decide_within_a_component(spark, monkeypatch, group):
+    """Copies of one text, each with its own changes: only chains of pairs at 0.8 or more stay together."""
+    monkeypatch.setattr(simhash, "GROUP", group)
+    draw = np.random.default_rng(5)
+    base = [f"w{x}" for x in range(160)]
+    texts = []
+    for k in range(60):
+        words = list(base)
+        for n in draw.choice(len(words), int(draw.integers(1, 8)), replace=False):
+            words[n] = f"new{k}x{n}"
+        texts.append(" ".join(words))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(156)} for t in texts]
+    joined = list(range(len(texts)))
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            joined = [joined[a] if j == joined[b] else j for j in joined]
+    expected = [min(i for i, j in enumerate(joined) if j == own) for own in joined]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs, similarity_scheme()).collect()}
+    assert 1 < len(set(expected)) < len(texts)
+    assert [found[i] for i in range(len(texts))] == expected
+
+
 def test_dropping_near_duplicates(edge, nothing):
     left = drop_near_duplicates(edge)
     assert left.columns == edge.columns
