@@ -21,6 +21,12 @@ def digest_of(text: str) -> Column:
     return F.unhex(F.sha2(normalised(text), 256))
 
 
+def frequent_digests(rows: DataFrame, support: float) -> DataFrame:
+    """Digests among which are all with more than ``support`` of the rows; counted as text, as equal byte arrays are not equal keys to Spark's counters."""
+    named = rows.select(F.hex("digest").alias("digest")).freqItems(["digest"], support)
+    return named.select(F.explode("digest_freqItems").alias("digest")).select(F.unhex("digest").alias("digest"))
+
+
 def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", support: float = SUPPORT) -> DataFrame:
     """One row per input row: ``doc_id, keep_id, group_size, kept, digest``.
 
@@ -44,7 +50,7 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
         "digests",
     )
     rank = F.struct((-F.col("n_points")).alias("less"), F.col("doc_id").isNull().alias("none"), "doc_id", "row")
-    frequent = stored(rows.freqItems(["digest"], support).select(F.explode("digest_freqItems").alias("digest")), "heavy")
+    frequent = stored(frequent_digests(rows, support), "heavy")
     winners = (
         rows.join(F.broadcast(frequent), "digest", "left_semi")
         .groupBy("digest")

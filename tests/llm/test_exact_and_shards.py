@@ -8,8 +8,9 @@ import pytest
 from edge_cases import TEXTS
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from martloom.llm.exact_dedup import drop_exact_duplicates, exact_duplicates
+from martloom.llm.exact_dedup import SUPPORT, digest_of, drop_exact_duplicates, exact_duplicates, frequent_digests
 from martloom.llm.sharding import permuted, shard
 
 
@@ -17,6 +18,15 @@ def plain(text):
     return re.sub(r"[\x20\x09-\x0D]", "", text or "")
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_frequent_digests_are_named_in_any_row_order(spark, seed):
+    copies = F.when(F.col("id") % 4 == 0, "copy").when(F.col("id") % 100 == 1, "rarer copy")
+    docs = spark.range(40_000).withColumn("text", F.coalesce(copies, F.concat(F.lit("own "), "id"))).orderBy(F.rand(seed)).repartition(3)
+    named = {bytes(r["digest"]) for r in frequent_digests(docs.select(digest_of("text").alias("digest")), SUPPORT).collect()}
+    assert {hashlib.sha256(t).digest() for t in (b"copy", b"rarercopy")} <= named
+    assert len(named) <= 1 / SUPPORT
+
+
 def test_groups_and_winners(edge):
     rows = exact_duplicates(edge).collect()
     assert len(rows) == len(TEXTS)
