@@ -20,7 +20,8 @@ BASE_WEIGHT = 0.9
 # Names of licenses as they read in normalised words: label, a word every match holds, pattern of the name.
 _GPL = r"(?:gnu )?{}general public licen[sc]e(?: version)?"
 LICENSE_NAMES = (
-    ("mit", "mit", r"(?:mit|mit x11|x11 mit|expat)"),
+    ("mit", "mit", r"(?:mit|mit x11|x11 mit)"),
+    ("mit", "expat", r"expat"),
     ("apache-1.1", "apache", r"apache(?: software)?(?: licen[sc]e)?(?: version)? v?1 1"),
     ("apache-2", "apache", r"apache(?: software)?(?: licen[sc]e)?(?: version)? v?2(?: 0)?"),
     ("gpl-2", "general", _GPL.format("") + r" v?2(?: 0)?"),
@@ -90,13 +91,20 @@ STATEMENTS = (
 #: A bare name counts only where it is too specific for ordinary prose.
 BARE_NAME_WORDS = 2
 
-# Words around which rules are tried, and what a text must hold for that to be worth while.
+# Words around which rules are tried, and what a text must hold for that to be worth while. Every match of a rule holds an anchor.
 ANCHOR_START = "licen"
 ANCHORS = ("spdx", "cc", "cc0", "gpl", "lgpl", "agpl", "gplv2", "gplv3", "unlicense", "wtfpl", "creative")
+#: Anchors only before a certain next word: statements and bare names that hold none of the others.
+ANCHOR_PAIRS = {
+    "under": ("distributed", "redistributed", "released", "published", "available"),
+    "software": ("python",),
+    "public": ("microsoft",),
+}
 KEYWORDS = ("licen", "spdx", "gpl", "unlicense", "wtfpl", "creative", "cc0")
-CC_GATE = r"cc[^0-9a-z\x{80}-\x{10FFFF}]+by"
+BETWEEN = r"[^0-9a-z\x{80}-\x{10FFFF}]+"
+CC_GATE = f"cc{BETWEEN}by"
 #: Words on either side of an anchor; no signature is longer.
-REACH = 16
+REACH = 20
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -170,7 +178,10 @@ def _detections(words: Column, rules: Column) -> Column:
 
     def is_anchor(i: Column) -> Column:
         word = F.get(words, i)
-        return word.startswith(ANCHOR_START) | word.isin(*ANCHORS)
+        anchor = word.startswith(ANCHOR_START) | word.isin(*ANCHORS)
+        for following, firsts in ANCHOR_PAIRS.items():
+            anchor = anchor | (word.isin(*firsts) & F.get(words, i + 1).eqNullSafe(following))
+        return anchor
 
     def around(anchor: Column) -> Column:
         low = F.greatest(anchor - REACH, F.lit(0))
@@ -200,8 +211,8 @@ def _detections(words: Column, rules: Column) -> Column:
 def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, detections``.
 
-    Texts are read as lower-case (A to Z) words between ASCII punctuation and space. Only texts that hold a keyword go
-    on. There every base phrase is counted at every place, and around every anchor word the signature rules are tried,
+    Texts are read as lower-case (A to Z) words between ASCII punctuation and space. Only texts that hold a keyword or a pair of anchor
+    words go on. There every base phrase is counted at every place, and around every anchor word the signature rules are tried,
     each behind a word it needs. Of detections that contain one another the one of higher priority stays, of equal
     priority the longer. ``labels`` joins base labels and those of the detections that stay; ``score`` is the largest
     weight among them, zero without any.
@@ -214,6 +225,8 @@ def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     gate = F.contains(low, F.lit("cc")) & low.rlike(CC_GATE)
     for keyword in KEYWORDS:
         gate = gate | F.contains(low, F.lit(keyword))
+    for following, firsts in ANCHOR_PAIRS.items():
+        gate = gate | (F.contains(low, F.lit(following)) & low.rlike(f"(?:{'|'.join(firsts)}){BETWEEN}{following}"))
     plain = F.trim(F.regexp_replace(F.translate(whole, UPPER, LOWER), SEPARATORS, " "))
     no_words = F.array().cast("array<string>")
     words = F.when(gate & (plain != ""), F.split(plain, " ")).otherwise(no_words)

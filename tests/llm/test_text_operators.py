@@ -159,6 +159,56 @@ def test_quality_on_edge_cases(spark, edge, nothing):
     assert kept.columns == edge.columns and kept.count() == len(TEXTS)
 
 
+def examples(pattern):
+    """Words that a rule's pattern matches: without its optional parts, with all of them, and with each branch of its choices."""
+
+    def spelled(parsed, long, choice):
+        out = ""
+        for kind, value in parsed:
+            match str(kind):
+                case "LITERAL":
+                    out += chr(value)
+                case "MAX_REPEAT":
+                    out += spelled(value[2], long, choice) * (value[1] if long else value[0])
+                case "SUBPATTERN":
+                    out += spelled(value[3], long, choice)
+                case "BRANCH":
+                    out += spelled(value[1][min(choice, len(value[1]) - 1)], long, choice)
+                case "IN":
+                    out += chr(value[min(choice, len(value) - 1)][1])
+                case _:
+                    raise AssertionError(kind)
+        return out
+
+    return {" ".join(spelled(re._parser.parse(pattern), long, choice).split()) for long in (False, True) for choice in range(5)}
+
+
+def test_every_license_rule_fires_on_its_own_example_alone(spark):
+    wanted = sorted({(text, r["label"], r["priority"]) for r in signature_rules() for text in examples(r["pattern"])})
+    rows = [(n, text.title()) for n, (text, _, _) in enumerate(wanted)]
+    found = license_scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()
+    labels = {r["doc_id"]: r["labels"].split(",") for r in found}
+    assert [w for n, w in enumerate(wanted) if w[1] not in labels[n]] == []
+
+
+@pytest.mark.parametrize(
+    ("text", "label"),
+    [
+        ("Released under Apache 2.0.", "apache-2"),
+        ("Distributed under the MIT", "mit"),
+        ("This is redistributed under the terms of Expat", "mit"),
+        ("available under MPL 2.0", "mpl-2"),
+        ("It was published under the 3-clause BSD", "bsd-3-clause"),
+        ("see Microsoft Public", "ms-pl"),
+        ("by the Python Software Foundation", "psf-2"),
+        ("A license, " + "and more words " * 10 + "released under zlib", "zlib"),
+        ("we are available under pressure in MIT", ""),
+    ],
+)
+def test_license_statements_without_keywords(spark, text, label):
+    assert [r["labels"] for r in license_scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()] == [label]
+
+
 def test_licenses(edge, nothing):
     rows = {r["doc_id"]: r for r in license_scan(edge).collect() if r["doc_id"] is not None}
     phrases = [(p.split(), label) for p, label in BASE_PHRASES]
