@@ -8,13 +8,13 @@ import __spark_entry__ as contract
 import corpus_pipeline
 from martloom.llm.queries import ORACLE, QUERIES
 
-NATIVE = ("op1_", "op3_", "op10_")
+NATIVE = ("op1_", "op3_", "op10_", "op11_")
 
 
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for table in ("documents", "benchmark", "labels"):
+    for table in ("documents", "benchmark", "labels", "embeddings"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     return connection
 
@@ -22,7 +22,7 @@ def duck():
 def test_all_are_registered():
     registered = contract.queries()
     assert set(QUERIES) | {"pipeline"} <= set(registered)
-    assert [sum(name.startswith(f"op{n}_") for name in registered) for n in range(1, 11)] == [1] * 10
+    assert [sum(name.startswith(f"op{n}_") for name in registered) for n in range(1, 14)] == [1] * 13
     assert set(ORACLE) <= set(contract.oracle_sql())
     assert len(corpus_pipeline.STAGES) == 5
 
