@@ -92,7 +92,7 @@ def near(queries: np.ndarray, sliced: np.ndarray, radius: int) -> np.ndarray:
 
 
 def spanning_links(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links of near fingerprints that join all of a component, as few as that takes."""
+    """A link from one member to every other of each component of near fingerprints: a star, whatever path joins them."""
     n, sliced = len(prints), planes(prints)
     adjacent = np.concatenate([near(prints[at : at + QUERIES], sliced, radius) for at in range(0, n, QUERIES)])
     lanes = np.zeros(sliced.shape[1] * 64, np.uint8)
@@ -113,6 +113,6 @@ def spanning_links(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
             if fresh.any():
                 unseen &= ~fresh
                 found = np.flatnonzero(np.unpackbits(fresh.view(np.uint8), bitorder="little")).tolist()
-                links.extend((node, other) for other in found)
+                links.extend((start, other) for other in found)
                 todo.extend(found)
     return links

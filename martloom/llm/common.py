@@ -27,6 +27,11 @@ def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``docs`` with all columns in one column ``row``: names that an operator adds beside it cannot clash with theirs."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

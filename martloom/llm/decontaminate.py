@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.common import small_side, stored, text_or_empty
+from martloom.llm.common import packed, small_side, stored, text_or_empty
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
@@ -105,6 +105,10 @@ def contained_items(
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that contain no test item, with all their columns."""
-    leaks = contained_items(docs, items, doc_id, text).select(F.col("doc_id").alias("_martloom_leak")).distinct()
-    return docs.join(leaks, F.col(doc_id).eqNullSafe(F.col("_martloom_leak")), "left_anti")
+    """The documents that contain no test item, with all their columns; columns of any name are kept.
+
+    Null and empty texts contain no item and stay. Rows of one id, a null one too, go together when one of them contains
+    an item. Without items, or without documents, nothing changes.
+    """
+    leaks = contained_items(docs, items, doc_id, text).select(F.col("doc_id").alias("leak")).distinct()
+    return packed(docs).join(leaks, F.col(f"row.`{doc_id}`").eqNullSafe(F.col("leak")), "left_anti").select("row.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.common import stored, text_or_empty
+from martloom.llm.common import packed, stored, text_or_empty
 
 #: A digest with more than this share of the rows is certain to be among the heavy ones; at most 1/SUPPORT digests are.
 SUPPORT = 0.001
@@ -71,11 +71,13 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
 
 def drop_exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns. Rows that repeat id and text leave one."""
-    kept = exact_duplicates(docs, doc_id, text).filter("kept").select(
-        F.col("doc_id").alias("_martloom_id"), F.col("digest").alias("_martloom_kept")
-    )
-    marked = docs.withColumn("_martloom_digest", digest_of(text))
-    same = F.col(doc_id).eqNullSafe(F.col("_martloom_id")) & (F.col("_martloom_digest") == F.col("_martloom_kept"))
-    once = marked.join(kept, same, "left_semi").dropDuplicates([doc_id, "_martloom_digest"])
-    return once.drop("_martloom_digest")
+    """The rows of ``docs`` that stay, with all their columns; columns of any name are kept.
+
+    Null texts are empty texts, of which one stays. Null ids come last and are equal to one another. Rows that repeat id
+    and text leave one. An empty table stays empty.
+    """
+    rows = exact_duplicates(docs, doc_id, text)
+    kept = rows.filter("kept").select(F.col("doc_id").alias("kept_id"), "digest")
+    marked = packed(docs).select("row", F.col(f"row.`{doc_id}`").alias("id"), digest_of(f"row.`{text}`").alias("text_digest"))
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("text_digest") == F.col("digest"))
+    return marked.join(kept, same, "left_semi").dropDuplicates(["id", "text_digest"]).select("row.*")

@@ -61,7 +61,8 @@ class Encoder:
 
     def __init__(self, vocabulary: str):
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        # A text with the name of one of these is cut around it, so such a text goes through all of the tokenizer as a whole.
+        self.added = [token.content.lower() for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {"": b""}
         byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
@@ -89,6 +90,9 @@ class Encoder:
         return found
 
     def __call__(self, text: str) -> bytes:
+        lowered = text.lower() if any(name[0] in text for name in self.added) else ""
+        if any(name in lowered for name in self.added):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         get, learn = self.known.get, self._learn
         words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         return b"".join([learn(w) if (ids := get(w)) is None else ids for w in words if w])

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import stored, text_or_empty
+from martloom.llm.common import packed, stored, text_or_empty
 
 BITS = 18
 #: Labelled documents that training reads at most, and passes over them.
@@ -166,7 +166,12 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == 0
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id") -> DataFrame:
-    """The documents scored at least ``THRESHOLD`` by a model of the labels outside the held-out fold."""
+def keep_good(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents scored at least ``THRESHOLD`` by a model of the labels outside the held-out fold, with all their columns.
+
+    Null texts count as empty and get the score of a text without features. Every row is scored by itself, so repeated rows
+    and rows with a null id are kept or go by their text alone. Columns of any name are kept; an empty table stays empty.
+    """
     weights = train(docs, labels.filter(~held_out(doc_id)), label, doc_id)
-    return score(docs, weights, into="_martloom_score").filter(F.col("_martloom_score") >= THRESHOLD).drop("_martloom_score")
+    scored = score(packed(docs).select("row", F.col(f"row.`{text}`").alias("text")), weights)
+    return scored.filter(F.col("score") >= THRESHOLD).select("row.*")

@@ -17,8 +17,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.bits import QUERIES, near, planes, spanning_links
-from martloom.llm.common import stored, text_or_empty
+from martloom.llm.bits import near, planes, spanning_links
+from martloom.llm.common import packed, stored, text_or_empty
 from martloom.llm.graph import components
 
 SEED = 42
@@ -31,8 +31,12 @@ _WHITE = re.compile(rb"[\x20\x09-\x0D]")
 GROUP = 4096
 #: Rows of small groups that are compared in one go.
 TILE = 256
+#: Bands after which what they have joined is told to the next ones.
+BAND_GROUPS = (4, 16)
 #: Standard deviations of the distance at the limit by which the radius of candidates is above its mean.
 MARGIN = 4
+#: Sets of at most so many shingles are found by their rarest shingles, as few shingles make uneven fingerprints.
+SHORT = 100
 #: Bytes of shingle sets that a task verifies against one another at a time, beside at most ``GROUP`` sets.
 SET_BYTES = 64 << 20
 
@@ -147,28 +151,30 @@ def _keys(scheme: Scheme) -> list[str]:
 
 
 def fingerprints(docs: DataFrame, scheme: Scheme, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id`` and the fingerprint's words ``f0, f1, ...`` (signed) of every row.
+    """``doc_id``, ``mark`` (a hash of the text) and the fingerprint's words ``f0, f1, ...`` (signed) of every row.
 
-    A scheme with a similarity adds ``same``, a hash of the shingle set.
+    A scheme with a similarity adds ``same``, a hash of the shingle set, and ``n``, its size.
     """
-    names = _keys(scheme)
+    names = _keys(scheme) + (["n"] if scheme.similarity is not None else [])
 
     def made_of(content: str) -> np.ndarray:
         if scheme.similarity is None:
             return fingerprint(content, scheme.shingle_words, scheme.words).view(np.int64)
         hashes = shingle_set(content, scheme.shingle_words)
-        return np.append(_majority([hashes], scheme.words).view(np.int64), _set_mark(hashes))
+        return np.append(_majority([hashes], scheme.words).view(np.int64), [_set_mark(hashes), len(hashes)])
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             prints = [made_of(content) for content in batch["text"]]
             found = pd.DataFrame(np.array(prints, np.int64).reshape(-1, len(names)), columns=names)
             found.insert(0, "doc_id", batch["doc_id"].to_numpy())
+            found.insert(1, "mark", batch["mark"].to_numpy())
             yield found
 
-    named = docs.select(F.col(doc_id).cast("string").alias("doc_id"), text_or_empty(text).alias("text"))
+    whole = text_or_empty(text)
+    named = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.xxhash64(whole).alias("mark"), whole.alias("text"))
     kind = docs.schema[doc_id].dataType
-    made = named.mapInPandas(rows, "doc_id string, " + ", ".join(f"{n} long" for n in names))
+    made = named.mapInPandas(rows, "doc_id string, mark long, " + ", ".join(f"{n} long" for n in names))
     return made.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
@@ -180,16 +186,20 @@ def _bucket(number: int, masks: tuple[int, ...], names: list[str]) -> Column:
     return F.xxhash64(F.lit(number), *[F.col(n).bitwiseAND(F.lit(_signed(m))) for n, m in zip(names, masks, strict=True)])
 
 
-def near_links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
+def near_links(nodes: DataFrame, scheme: Scheme, bands: slice = slice(None), label: str = "node") -> DataFrame:
     """Links ``a, b`` between near fingerprints of ``nodes`` (``node``, words), enough to join every component.
 
+    Links are between values of ``label``; nodes that share one are joined already and need none. ``bands`` says which
+    buckets are used.
+
     Every fingerprint goes to its buckets. A bucket of over ``GROUP`` fingerprints is dealt into chunks, and every pair
     of chunks is a group; so no task holds more than a group, no near pair is lost, and a group returns fewer links than
     it has rows.
     """
     names = _parts(scheme)
-    keys = F.array(*[_bucket(n, masks, names) for n, masks in enumerate(scheme.masks)])
-    dealt = nodes.select("node", *names, F.explode(keys).alias("bucket"))
+    own = ["node"] if label == "node" else ["node", label]
+    keys = F.array(*[_bucket(n, masks, names) for n, masks in list(enumerate(scheme.masks))[bands]])
+    dealt = nodes.select(*own, *names, F.explode(keys).alias("bucket"))
     sizes = nodes.select(F.explode(keys).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
     large = stored(sizes.filter(F.col("n") > GROUP), "buckets")
     usual = dealt
@@ -198,9 +208,9 @@ def near_links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
         chunks = F.ceil(F.col("n") / F.lit(GROUP // 2)).cast("int")
         mine = F.pmod(F.xxhash64("node"), chunks)
         other = F.explode(F.sequence(F.lit(0), chunks - 1))
-        split = dealt.join(large, "bucket").select("node", *names, "bucket", mine.alias("mine"), other.alias("other"))
+        split = dealt.join(large, "bucket").select(*own, *names, "bucket", mine.alias("mine"), other.alias("other"))
         pair = F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other"))
-        usual = usual.unionByName(split.select("node", *names, pair.alias("bucket")))
+        usual = usual.unionByName(split.select(*own, *names, pair.alias("bucket")))
 
     def compared(rows: pd.DataFrame) -> list[tuple[int, int]]:
         """Links within the buckets of sorted rows; neighbouring small buckets are compared in one tile."""
@@ -209,18 +219,42 @@ def near_links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
         sizes = np.diff(np.append(starts, len(buckets)))
         several = np.repeat(sizes > 1, sizes)
         prints = np.ascontiguousarray(rows[names].to_numpy(np.int64)[several]).view(np.uint64)
-        nodes_of = rows["node"].to_numpy()[several].tolist()
+        nodes_of = rows[label].to_numpy()[several].tolist()
         edges = np.append(0, np.cumsum(sizes[sizes > 1]))
         links, at = [], 0
         while at < len(edges) - 1:
             end = max(at + 1, int(np.searchsorted(edges, edges[at] + TILE, side="right")) - 1)
             low, at = int(edges[at]), end
-            links += [(nodes_of[low + a], nodes_of[low + b]) for a, b in spanning_links(prints[low : int(edges[end])], scheme.radius)]
+            links += to_least([(nodes_of[low + a], nodes_of[low + b]) for a, b in spanning_links(prints[low : int(edges[end])], scheme.radius)])
         return links
 
     return _by_bucket(usual, compared)
 
 
+def to_least(stars: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same stars with the least node of each in the middle, so that buckets which share members repeat their links."""
+    members: dict[int, set[int]] = {}
+    for middle, other in stars:
+        members.setdefault(middle, {middle}).add(other)
+    return [(least, node) for nodes in members.values() for least in [min(nodes)] for node in nodes if node != least]
+
+
+def candidate_groups(nodes: DataFrame, scheme: Scheme) -> DataFrame:
+    """``node, component`` of the nodes that near fingerprints join to others.
+
+    The bands are taken in groups, and each group of bands only adds links between the components found so far. So a
+    group of near copies, which the first bands join for the most part, leaves few links to all later ones.
+    """
+    known = nodes.withColumn("component", F.col("node"))
+    edges = [*(b for b in BAND_GROUPS if b < len(scheme.masks)), len(scheme.masks)]
+    for low, high in itertools.pairwise([0, *edges]):
+        joined = components(near_links(known, scheme, slice(low, high), "component")).select(F.col("node").alias("was"), F.col("component").alias("into"))
+        renamed = known.join(joined, F.col("component") == F.col("was"), "left").withColumn("component", F.coalesce("into", "component"))
+        known = stored(renamed.drop("was", "into"), "joined")
+    several = known.groupBy("component").agg(F.count("*").alias("members")).filter("members > 1").select(F.col("component").alias("whole"))
+    return known.join(several, F.col("component") == F.col("whole"), "left_semi").select("node", "component")
+
+
 def _by_bucket(rows: DataFrame, compared: Callable[[pd.DataFrame], list[tuple[int, int]]]) -> DataFrame:
     """Links ``a, b`` that ``compared`` finds in sorted rows of whole buckets."""
 
@@ -282,28 +316,113 @@ def similar_links(members: DataFrame, scheme: Scheme) -> DataFrame:
         edges = [*np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])).tolist(), len(buckets)] if len(buckets) else [0]
         links = []
         for low, high in itertools.pairwise(edges):
-            links += [(nodes[low + a], nodes[low + b]) for a, b in verified_links(prints[low:high], sets[low:high], scheme.radius, scheme.similarity)]
+            stars = verified_links(prints[low:high], sets[low:high], scheme.radius, scheme.similarity)
+            links += to_least([(nodes[low + a], nodes[low + b]) for a, b in stars])
         return links
 
     return _by_bucket(usual, compared)
 
 
 def verified_links(prints: np.ndarray, sets: list[np.ndarray], radius: int, similarity: float) -> list[tuple[int, int]]:
-    """Links that join whatever pairs within the radius and of the similarity join, as few as that takes."""
-    n, links = len(sets), []
-    sliced, counts, top = planes(prints), np.array([len(s) for s in sets]), np.arange(n)
-    for at in range(0, n, QUERIES):
-        found = near(prints[at : at + QUERIES], sliced, radius)
-        for a in range(at, min(at + QUERIES, n)):
-            others = np.flatnonzero(np.unpackbits(found[a - at].view(np.uint8), bitorder="little")[:a])
+    """Stars over what pairs within the radius and of the similarity join."""
+    sliced = planes(prints)
+
+    def within(a: int, others: np.ndarray) -> np.ndarray:
+        row = np.unpackbits(near(prints[a : a + 1], sliced, radius)[0].view(np.uint8), bitorder="little")
+        return others[row[others].astype(bool)]
+
+    return set_stars(sets, similarity, within)
+
+
+def set_stars(sets: list[np.ndarray], similarity: float, within: Callable[[int, np.ndarray], np.ndarray] | None = None) -> list[tuple[int, int]]:
+    """Stars over the components of sets whose Jaccard similarity is at least ``similarity``.
+
+    A member is compared with all sets that no component has yet, by one count of the shingles it shares with them; so a
+    group of near copies is done after its first member, and no pair is compared that is joined already.
+    """
+    n = len(sets)
+    if n < 2:
+        return []
+    counts = np.array([len(s) for s in sets], np.int64)
+    values, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    edges = np.concatenate([[0], np.cumsum(counts)])
+    mark = np.zeros(len(values), np.int32)
+    free, stars = np.ones(n, bool), []
+    for first in range(n):
+        if not free[first]:
+            continue
+        free[first] = False
+        todo = [first]
+        while todo:
+            a = todo.pop()
+            others = np.flatnonzero(free)
             fewer, more = np.minimum(counts[others], counts[a]), np.maximum(counts[others], counts[a])
-            for b in others[fewer >= similarity * more - EPSILON].tolist():
-                if top[a] != top[b]:
-                    both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-                    if both >= similarity * (counts[a] + counts[b] - both) - EPSILON:
-                        top[top == top[a]] = top[b]
-                        links.append((b, a))
-    return links
+            others = others[fewer >= similarity * more - EPSILON]
+            if within is not None and len(others):
+                others = within(a, others)
+            if not len(others):
+                continue
+            mine = codes[edges[a] : edges[a + 1]]
+            mark[mine] = 1
+            both = _shared(mark, codes, edges, counts, others)
+            mark[mine] = 0
+            found = others[both >= similarity * (counts[a] + counts[others] - both) - EPSILON]
+            free[found] = False
+            stars += [(first, b) for b in found.tolist()]
+            todo += found.tolist()
+    return stars
+
+
+def _shared(mark: np.ndarray, codes: np.ndarray, edges: np.ndarray, counts: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """How many marked codes each of the other sets has."""
+    sizes = counts[others]
+    ends = np.cumsum(sizes)
+    places = np.arange(int(ends[-1])) + np.repeat(edges[others] - (ends - sizes), sizes)
+    summed = np.concatenate([[0], np.cumsum(mark[codes[places]])])
+    return summed[ends] - summed[ends - sizes]
+
+
+def short_links(members: DataFrame, similarity: float) -> DataFrame:
+    """All links ``a, b`` of the similarity between ``members`` (``node``, ``hashes``) one of which has at most ``SHORT`` shingles.
+
+    Sets of such a similarity share one of their rarest shingles, as many as a set may miss and one more. So sets meet in the
+    buckets of these, and every bucket is searched exactly; large ones are dealt into chunks and pairs of them.
+    """
+    least = similarity - EPSILON
+
+    def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [np.frombuffer(h, np.int64) for h in batch["hashes"]]
+            nodes = np.repeat(batch["node"].to_numpy(), [len(s) for s in sets])
+            yield pd.DataFrame({"node": nodes, "shingle": np.concatenate([np.zeros(0, np.int64), *sets])})
+
+    short = members.filter(F.octet_length("hashes") <= int(8 * SHORT / least)).select("node", "hashes")
+    each = stored(short.mapInPandas(shingles, "node long, shingle long"), "short-shingles")
+    # A shingle of one set joins nothing and still counts as the rarest.
+    spread = each.groupBy("shingle").agg(F.count("*").alias("spread"))
+    ranked = each.join(spread, "shingle").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("spread", "shingle"))).alias("order"))
+    size = F.size("order")
+    kept = F.slice("order", 1, size - F.ceil(size * least).cast("int") + 1)
+    rare = ranked.select("node", F.explode(F.filter(kept, lambda s: s["spread"] > 1)["shingle"]).alias("bucket"))
+    sizes = stored(rare.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "short-buckets")
+    chunks = F.ceil(F.col("n") / F.lit(GROUP // 2)).cast("int")
+    dealt = rare.join(sizes.select("bucket", F.when(F.col("n") > GROUP, chunks).otherwise(1).alias("chunks")), "bucket")
+    mine = F.pmod(F.xxhash64("node"), "chunks")
+    split = dealt.select("node", "bucket", "chunks", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    # With more than one chunk a pair of different chunks holds both, so a chunk need not meet itself.
+    split = split.filter((F.col("mine") != F.col("other")) | (F.col("chunks") == 1))
+    paired = split.select("node", F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other")).alias("bucket"))
+
+    def compared(rows: pd.DataFrame) -> list[tuple[int, int]]:
+        buckets, nodes = rows["bucket"].to_numpy(), rows["node"].tolist()
+        sets = [np.frombuffer(h, np.uint64) for h in rows["hashes"]]
+        edges = [*np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])).tolist(), len(buckets)] if len(buckets) else [0]
+        links = []
+        for low, high in itertools.pairwise(edges):
+            links += to_least([(nodes[low + a], nodes[low + b]) for a, b in set_stars(sets[low:high], similarity)])
+        return links
+
+    return _by_bucket(paired.join(short, "node"), compared)
 
 
 def near_duplicates(docs: DataFrame, scheme: Scheme, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -317,28 +436,53 @@ def near_duplicates(docs: DataFrame, scheme: Scheme, doc_id: str = "doc_id", tex
     component are null. Repeated rows give repeated results; an empty table gives no rows; extra columns are ignored.
 
     With a similarity a node is a shingle set. The links of fingerprints name components of candidates only; their sets
-    are read again, and only pairs of the similarity (by 64-bit hashes of the shingles) are linked.
+    are read again, and only pairs of the similarity (by 64-bit hashes of the shingles) are linked. Sets of at most ``SHORT``
+    shingles are compared through their rarest shingles besides, which misses no pair.
     """
-    names, keys = _parts(scheme), _keys(scheme)
+    return _grouped(docs, scheme, doc_id, text).select("doc_id", *_parts(scheme), "component_id")
+
+
+def _grouped(docs: DataFrame, scheme: Scheme, doc_id: str, text: str) -> DataFrame:
+    """The rows of ``fingerprints`` with ``component``, a number, and ``component_id``."""
+    keys = _keys(scheme)
     rows = stored(fingerprints(docs, scheme, doc_id, text), "fingerprints")
-    distinct = rows.groupBy(*keys).agg(F.min("doc_id").alias("least"))
+    sizes = [F.max("n").alias("n")] if scheme.similarity is not None else []
+    distinct = rows.groupBy(*keys).agg(F.min("doc_id").alias("least"), *sizes)
     nodes = stored(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    groups = components(near_links(nodes, scheme))
-    if scheme.similarity is not None:
-        candidates = stored(nodes.join(groups, "node"), "candidates")
-        members = stored(candidates.join(shingle_sets(docs, candidates, scheme, doc_id, text), "same"), "sets")
-        groups = components(similar_links(members, scheme))
+    if scheme.similarity is None:
+        groups = components(near_links(nodes, scheme))
+    else:
+        groups = candidate_groups(nodes, scheme)
+        candidates = nodes.join(groups, "node", "left")
+        short = F.col("n") <= int(SHORT / (scheme.similarity - EPSILON))
+        wanted = stored(candidates.filter(F.col("component").isNotNull() | short), "candidates")
+        members = stored(wanted.join(shingle_sets(docs, wanted, scheme, doc_id, text), "same"), "sets")
+        links = similar_links(members.filter(F.col("component").isNotNull()), scheme)
+        groups = components(links.unionByName(short_links(members, scheme.similarity)))
     linked = stored(nodes.join(groups, "node").select("node", "least", "component"), "members")
     # Stored, so that the join after it has two plain shuffles, of which Spark splits a component with very many nodes.
     smallest = stored(linked.groupBy("component").agg(F.min("least").alias("component_id")), "components")
-    named = nodes.join(linked.join(smallest, "component").select("node", "component_id"), "node", "left").select(
-        *keys, F.coalesce("component_id", "least").alias("component_id")
+    named = nodes.join(linked.join(smallest, "component").select("node", "component", "component_id"), "node", "left").select(
+        *keys, F.coalesce("component", "node").alias("component"), F.coalesce("component_id", "least").alias("component_id")
     )
-    return rows.join(named.select(*keys, "component_id"), keys).select("doc_id", *names, "component_id")
+    return rows.join(named, keys)
 
 
 def drop_near_duplicates(docs: DataFrame, scheme: Scheme | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of every component, the one with the smallest id, with all its columns; rows with a null id stay."""
-    found = near_duplicates(docs, scheme or similarity_scheme(), doc_id, text)
-    dropped = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_martloom_dropped")).distinct()
-    return docs.join(dropped, F.col(doc_id) == F.col("_martloom_dropped"), "left_anti")
+    """One document of every component, the one with the smallest id, with all its columns, of any name.
+
+    Of rows that share the smallest id, one stays (by a hash of its text, if they differ); rows of another component that
+    repeat an id are decided by their own text. Rows with a null id stay. Null texts count as empty; an empty table stays empty.
+    """
+    found = stored(_grouped(docs, scheme or similarity_scheme(), doc_id, text).select("doc_id", "mark", "component"), "groups").filter(
+        F.col("doc_id").isNotNull()
+    )
+    kept = found.groupBy("component").agg(F.min(F.struct("doc_id", "mark")).alias("kept"))
+    texts = found.groupBy("component", "doc_id", "mark").agg(F.count("*").alias("n"))
+    judged = texts.join(kept, "component").withColumn("stays", (F.col("kept.doc_id") == F.col("doc_id")) & (F.col("kept.mark") == F.col("mark")))
+    marks = judged.filter(~F.col("stays") | (F.col("n") > 1)).select(F.col("doc_id").alias("marked"), "mark", "stays")
+    rows = packed(docs).select("row", F.col(f"row.`{doc_id}`").alias("id"), F.xxhash64(text_or_empty(f"row.`{text}`")).alias("text_mark"))
+    same = (F.col("id") == F.col("marked")) & (F.col("text_mark") == F.col("mark"))
+    others = rows.join(marks, same, "left_anti")
+    repeated = rows.join(marks.filter("stays"), same, "left_semi").dropDuplicates(["id", "text_mark"])
+    return others.unionByName(repeated).select("row.*")

@@ -10,6 +10,8 @@ SCHEMA = T.StructType(
         T.StructField("text", T.StringType()),
         # Names that operators use for columns of their own.
         *[T.StructField(name, T.StringType()) for name in ("digest", "score", "hash", "kept", "block", "component_id", "words", "class", "n_words")],
+        *[T.StructField(name, T.StringType()) for name in ("_martloom_id", "_martloom_digest", "_martloom_dropped", "_martloom_leak", "_martloom_score")],
+        *[T.StructField(name, T.StringType()) for name in ("row", "id", "mark", "text_mark", "marked", "kept_id", "text_digest", "leak", "vector")],
     ]
 )
 LICENSE = "Dual licensed. Under the  MIT-License! cc by nc cc by nc; Apache License, Version 2.0"

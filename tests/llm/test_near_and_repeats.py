@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 from edge_cases import TEXTS
 from hypothesis import given, settings
@@ -130,6 +131,61 @@ def test_pairs_at_the_limit_are_found_and_those_below_are_not(spark, monkeypatch
     assert all(found[i] // 2 == i // 2 for i in found)
 
 
+@pytest.mark.parametrize("n", [5, 10, 20, 50, 400])
+def test_pairs_of_any_length_are_found(spark, n):
+    texts = pairs_at(0.8, 100, n, n)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs, similarity_scheme()).collect()}
+    linked = [found[2 * k] == found[2 * k + 1] for k in range(100)]
+    assert sum(linked) >= (100 if n <= simhash.SHORT else 90)
+    assert all(found[i] // 2 == i // 2 for i in found)
+
+
+def near_copies(count, words):
+    draw = np.random.default_rng(count)
+    base = [f"w{x}" for x in range(words)]
+    texts = []
+    for k in range(count):
+        own = list(base)
+        own[int(draw.integers(words))] = f"new{k}"
+        texts.append(" ".join(own))
+    return texts
+
+
+def test_large_groups_of_near_copies_leave_few_links_a_node(spark, monkeypatch):
+    """What the first bands have joined is not linked again, so links grow with the group and not with bands times group."""
+    counted, whole = [], simhash.components
+    monkeypatch.setattr(simhash, "components", lambda links: counted.append((kept := simhash.stored(links, "test-links")).count()) or whole(kept))
+    scheme, share = similarity_scheme(), []
+    for count in (600, 6000):
+        docs = spark.createDataFrame(list(enumerate(near_copies(count, 60))), "doc_id long, text string").repartition(8)
+        prints = simhash.stored(simhash.fingerprints(docs, scheme), "test-prints")
+        counted.clear()
+        groups = simhash.candidate_groups(prints.select(F.col("doc_id").alias("node"), *simhash._parts(scheme)), scheme)
+        assert groups.count() == count and groups.select("component").distinct().count() == 1
+        share.append(sum(counted) / count)
+    assert max(share) <= 12 and share[1] <= 1.5 * share[0], share
+
+
+@pytest.mark.parametrize("group", [4096, 16])
+def test_short_near_copies_are_one_group(spark, monkeypatch, group):
+    monkeypatch.setattr(simhash, "GROUP", group)
+    texts = near_copies(200, 60) + ["another text of six words altogether"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    found = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs, similarity_scheme()).collect()}
+    assert found == {**dict.fromkeys(range(200), 0), 200: 200}
+
+
+def test_rows_are_dropped_by_their_text_where_ids_repeat(spark):
+    a = near_copies(1, 60)[0]
+    b, other = a + " tail", " ".join(f"o{n}" for n in range(30))
+    rows = [(0, a), (1, b), (1, other), (2, a), (2, a), (3, None), (3, ""), (None, a), (5, other + " x")]
+    left = drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(str((i, t or "")) for i, t in left.collect()) == sorted(map(str, [(0, a), (1, other), (3, ""), (None, a)]))
+    twice = drop_near_duplicates(spark.createDataFrame([(0, a), (0, b), (4, other), (4, other)], "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in twice.collect()) == [0, 4]
+
+
 def test_a_repeated_line_makes_no_near_duplicates(spark):
     line = "= = = = = " * 400
     docs = [(k, line + " ".join(f"w{k}x{n}" for n in range(60))) for k in range(4)]

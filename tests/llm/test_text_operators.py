@@ -54,9 +54,15 @@ def test_contained_items(spark, edge, nothing):
     assert drop_contaminated(edge, tests.limit(0)).count() == len(TEXTS)
 
 
+def test_texts_with_added_tokens_are_encoded_as_a_whole(spark):
+    texts = ["a<|endoftext|>b", "<|startoftext|> two words <|ENDOFTEXT|>", "<|endoftext |>", "<|", "plain words"]
+    rows = list(enumerate(texts))
+    check_packing(spark.createDataFrame(rows, "doc_id long, text string"), rows)
+    assert Tokenizer.from_file(VOCABULARY).encode(texts[0], add_special_tokens=False).ids[1] == 49407
+
+
 def check_packing(df, rows):
     tokenizer = Tokenizer.from_file(VOCABULARY)
-    tokenizer.encode_special_tokens = True
     expected, found = defaultdict(list), defaultdict(list)
     for i, t in rows:
         ids = np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], "<u4").tobytes()
