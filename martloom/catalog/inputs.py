@@ -238,9 +238,17 @@ SELECT o_custkey AS k, o_orderpriority AS payload, CASE o_orderstatus WHEN 'F' T
        CAST(o_orderdate AS DATE) AS created_day, CASE o_orderstatus WHEN 'O' THEN CAST(1 AS BIGINT) ELSE CAST(2 AS BIGINT) END AS exec_id
 FROM orders"""
 
-INPUTS["in_whole_stage"] = "SELECT c_custkey * 2 AS k, c_mktsegment AS payload FROM customer"
-
-INPUTS["in_stage"] = "SELECT c_custkey * 2 AS k, c_mktsegment AS payload FROM customer WHERE c_acctbal > 4500"
+INPUTS["in_stage"] = "SELECT c_custkey * 2 AS k, c_mktsegment AS payload FROM customer"
+
+# Lines as they land: objects, arrays of objects, text that is cut off, and blank lines.
+INPUTS["in_landed_line"] = """
+SELECT CASE event_id % 11
+         WHEN 0 THEN '{"event_id": "' || CAST(event_id AS STRING) || '", "event_type": '
+         WHEN 1 THEN '[{"event_id": "' || CAST(event_id AS STRING) || '", "event_type": "' || event_type || '"}, {"event_id": "' || CAST(-event_id AS STRING) || '"}]'
+         WHEN 2 THEN '  '
+         WHEN 3 THEN '[{"event_id": "' || CAST(event_id AS STRING) || '"'
+         ELSE '{"event_type": "' || event_type || '", "event_id": "' || CAST(event_id AS STRING) || '"}' END AS line
+FROM events"""
 
 INPUTS["in_export_product"] = f"""
 SELECT p_partkey AS prod_id__c,
@@ -333,6 +341,7 @@ class Inputs:
             frames = {u: self[u] for u in uses}
             frames.update({g: self.given(g) for g in GIVEN if re.search(rf"\b(FROM|JOIN) {g}\b", text)})
             spark_text = _EACH.sub(lambda m: f"explode(sequence(0, {int(m.group(1)) - 1}))", text)
+            spark_text = spark_text.replace("{", "{{").replace("}", "}}")
             for name_used in frames:
                 spark_text = re.sub(rf"\b(FROM|JOIN) {name_used}\b", rf"\1 {{{name_used}}}", spark_text)
             self._frames[name] = self.spark.sql(spark_text, **frames)

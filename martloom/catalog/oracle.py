@@ -378,7 +378,7 @@ BODIES["template_params"] = plain(
     f"SELECT prod_id, prod_nm, prod_typ, lst_pblsh_dt FROM in_prod WHERE lst_pblsh_dt > {SINCE} AND prod_typ IN ('COMPETITOR', 'OWN')",
     "lst_pblsh_dt",
 )
-BODIES["stage_snapshot"] = "SELECT k, payload FROM in_whole_stage"
+BODIES["stage_snapshot"] = "SELECT k, payload FROM in_stage"
 BODIES["bulk_replicate"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows, COUNT(*) AS n_reported FROM {t}" for t in GIVEN
 )
@@ -394,8 +394,9 @@ SELECT Id AS sfdc_id, Product_Group_External_ID_GLBL__c AS prod_grp_external_id_
 FROM in_landed_group_ids"""
 BODIES["export_csv_roundtrip"] = EXPORT_GROUP
 BODIES["export_tsv_roundtrip"] = SPEND_EXPORT
+BODIES["export_single_file"] = EXPORT_GROUP
 
-BODIES["audit_stamp"] = f"SELECT k, payload, {AUDIT} FROM in_whole_stage"
+BODIES["audit_stamp"] = f"SELECT k, payload, {AUDIT} FROM in_stage"
 BODIES["incremental_window"] = f"""
 SELECT Id, Participant_ToV_Updated_Date_MERC__c AS updated, mode
 FROM in_meeting, (VALUES ('instant'), ('text')) v(mode) WHERE {IN_WINDOW}"""
@@ -524,8 +525,13 @@ BODIES["export_indication"] = (
 )
 
 BODIES["history_close"] = f"SELECT * FROM {closed(stamp=True)} c"
-BODIES["history_apply"] = f"SELECT * FROM {closed(stamp=False)} c UNION ALL SELECT k, payload, {AUDIT} FROM in_whole_stage"
+BODIES["history_apply"] = f"SELECT * FROM {closed(stamp=False)} c UNION ALL SELECT k, payload, {AUDIT} FROM in_stage"
 BODIES["history_rollback"] = f"SELECT * FROM {closed(stamp=False)} c"
+BODIES["landing_arrays"] = """
+SELECT CAST(o->>'event_id' AS BIGINT) AS event_id, o->>'event_type' AS event_type FROM (
+  SELECT unnest(CASE WHEN line LIKE '[%' THEN CAST(CAST(line AS JSON) AS JSON[]) ELSE [CAST(line AS JSON)] END) AS o
+  FROM in_landed_line WHERE json_valid(line)) x"""
+BODIES["stream_rejects"] = "SELECT line, COUNT(*) AS n FROM in_landed_line WHERE TRIM(line) <> '' AND NOT json_valid(line) GROUP BY line"
 BODIES["incremental_run"] = f"""
 WITH earlier AS ({WINDOWED} > '{AFTER}' AND Participant_ToV_Updated_Date_MERC__c <= '{BETWEEN}'),
      later AS ({WINDOWED} > '{BETWEEN}' AND Participant_ToV_Updated_Date_MERC__c <= '{UNTIL}')
@@ -538,7 +544,7 @@ SELECT owner_id, meeting_id, 'Y', '{NEXT_TS}', '{NEXT_TS}', CAST(78 AS BIGINT),
 BODIES["stream_history"] = f"""
 WITH first_rows AS (SELECT o_custkey AS k, o_orderpriority AS payload FROM orders),
      second_rows AS (SELECT k, payload FROM in_stage),
-     third_rows AS (SELECT c_custkey AS k, c_mktsegment AS payload FROM customer WHERE c_acctbal < 0),
+     third_rows AS (SELECT s_suppkey * 3 AS k, s_name AS payload FROM supplier),
      versions AS (
        SELECT k, payload, k IN (SELECT k FROM second_rows UNION ALL SELECT k FROM third_rows) AS again, 77 AS made, '{RUN_TS}' AS made_ts FROM first_rows
        UNION ALL SELECT k, payload, k IN (SELECT k FROM third_rows), 78, '{NEXT_TS}' FROM second_rows

@@ -23,11 +23,11 @@ from martloom.plans.replicate import bulk_replicate
 from martloom.plans.runner import IncrementalJob
 from martloom.session import scratch_path, size_shuffle, tune
 from martloom.sources.landing import read_landing
-from martloom.sources.sinks import export_delimited, read_delimited, write_stage
+from martloom.sources.sinks import export_delimited, export_single_file, read_delimited, write_stage
 from martloom.sources.state import Bookmark, HistoryTable
 from martloom.sources.tables import Folder, read_table, run_query
 from martloom.streaming.history import stream_history
-from martloom.streaming.landing import ingest_landing, landing_stream
+from martloom.streaming.landing import ingest_landing, ingest_with_rejects, landed_lines, landing_stream
 
 SINCE = "2021-06-01"
 RUN = RunContext(run_ts=datetime(2024, 1, 2, 3, 4, 5), exec_id=77, as_of=date(2021, 6, 1))
@@ -174,6 +174,14 @@ def landing_json(i: Inputs) -> DataFrame:
     )
 
 
+@query("landing_arrays")
+def landing_arrays(i: Inputs) -> DataFrame:
+    folder = scratch_path(i.spark, "landing")
+    i["in_landed_line"].write.text(folder)
+    rows = read_landing(i.spark, folder, ["event_id", "event_type"])
+    return rows.select(F.col("event_id").cast("bigint").alias("event_id"), "event_type")
+
+
 @query("template_params")
 def template_params(i: Inputs) -> DataFrame:
     return run_query(
@@ -190,7 +198,7 @@ def template_params(i: Inputs) -> DataFrame:
 @query("stage_snapshot")
 def stage_snapshot(i: Inputs) -> DataFrame:
     target = Folder(scratch_path(i.spark, "stage"))
-    staged = i["in_whole_stage"].toDF("K", "Payload")
+    staged = i["in_stage"].toDF("K", "Payload")
     write_stage(staged.withColumn("Payload", F.lit("previous run")), target, "stage")
     write_stage(staged, target, "stage")
     return read_table(i.spark, target, "stage")
@@ -255,12 +263,20 @@ def export_tsv_roundtrip(i: Inputs) -> DataFrame:
     return read_delimited(i.spark, folders[1], formatted.columns, sep="\t")
 
 
+@query("export_single_file")
+def export_single_file_roundtrip(i: Inputs) -> DataFrame:
+    folder = scratch_path(i.spark, "single")
+    formatted = exports.export_group(i["in_export_group"])
+    export_single_file(formatted, f"{folder}/groups.csv")
+    return read_delimited(i.spark, f"{folder}/groups.csv", formatted.columns)
+
+
 # Projections, filters and scalar expressions
 
 
 @query("audit_stamp")
 def audit_stamped(i: Inputs) -> DataFrame:
-    return audit_stamp(i["in_whole_stage"], RUN)
+    return audit_stamp(i["in_stage"], RUN)
 
 
 
@@ -612,6 +628,16 @@ def stream_landing(i: Inputs) -> DataFrame:
     )
 
 
+@query("stream_rejects")
+def stream_rejects(i: Inputs) -> DataFrame:
+    base = scratch_path(i.spark, "stream")
+    for part, lines in enumerate(i["in_landed_line"].randomSplit([0.5, 0.5], 1)):
+        lines.write.text(f"{base}/landing/{part}")
+        taken = landed_lines(i.spark, f"{base}/landing")
+        ingest_with_rejects(taken, ["event_id", "event_type"], f"{base}/rows", f"{base}/rejects", f"{base}/checkpoint").awaitTermination()
+    return i.spark.read.parquet(f"{base}/rejects").groupBy("line").agg(F.count("*").alias("n"))
+
+
 @query("stream_history")
 def stream_history_batches(i: Inputs) -> DataFrame:
     base = scratch_path(i.spark, "stream")
@@ -619,8 +645,8 @@ def stream_history_batches(i: Inputs) -> DataFrame:
     table = HistoryTable(i.spark, f"{base}/history", schema, "k")
     orders = i.given("orders").select(F.col("o_custkey").alias("k"), F.col("o_orderpriority").alias("payload"))
     table.publish(orders, RUN, token="start")
-    overdrawn = i.given("customer").filter(F.col("c_acctbal") < 0)
-    steps = (i["in_stage"], overdrawn.select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("payload")))
+    suppliers = i.given("supplier").select((F.col("s_suppkey") * 3).alias("k"), F.col("s_name").alias("payload"))
+    steps = (i["in_stage"], suppliers)
     for number, step in enumerate(steps):
         all_text(step).write.json(f"{base}/landing/{number}")
         rows = landing_stream(i.spark, f"{base}/landing", ["k", "payload"])

@@ -72,23 +72,38 @@ def _alternate_and_translated(t: Tables) -> DataFrame:
     return alternates.join(_countries(t["translations"], "translation_pblsh_dt"), ["prod_id", "cntry_cd"])
 
 
-def _with_master(t: Tables, narrow: DataFrame, types: Sequence[str], published: Sequence[str], since: str) -> DataFrame:
-    """Master rows of the wanted types for each link row, if any of the involved rows changed.
+PUBLISHED = ("alternate_pblsh_dt", "translation_pblsh_dt", "link_pblsh_dt", "group_translation_pblsh_dt")
+FEED = "_feed"
+
+
+def _with_master(t: Tables, narrow: DataFrame, wanted: Column, since: str) -> DataFrame:
+    """Master rows for each link row where they are ``wanted``, if any of the involved rows changed.
 
     The feed has those master columns that ``prod`` has.
     """
     columns = [c for c in t["prod"].columns if c in (*PRODUCT_MASTER, MASTER_KEY)]
-    master = t["prod"].select(columns).filter(F.col("prod_typ").isin(list(types)))
-    joined = master.join(narrow, "prod_id")
-    changed = changed_since([F.col("lst_pblsh_dt"), *[F.col(c) for c in published]], since)
+    joined = t["prod"].select(columns).join(narrow, "prod_id").filter(wanted)
+    changed = changed_since([F.col("lst_pblsh_dt"), *[F.col(c) for c in PUBLISHED if c in narrow.columns]], since)
     return joined.filter(changed).select([*columns, *FEED_LINKS])
 
 
+def _of_types(types: Sequence[str]) -> Column:
+    return F.col("prod_typ").isin(list(types))
+
+
+def _sample_links(t: Tables, bridge: DataFrame, countries: DataFrame) -> DataFrame:
+    brands = bridge.filter(F.col("grp_prps_cd") == BRAND).withColumnRenamed("prod_grp_id", "prod_grp_prnt_id")
+    return brands.join(countries, "prod_id")
+
+
 def sample_feed(t: Tables, since: str, types: Sequence[str] = SAMPLE_TYPES) -> DataFrame:
     """Products linked straight to a brand group, per country with alternate id and translation."""
-    bridge = _bridge(t).filter(F.col("grp_prps_cd") == BRAND).withColumnRenamed("prod_grp_id", "prod_grp_prnt_id")
-    narrow = bridge.join(_alternate_and_translated(t), "prod_id")
-    return _with_master(t, narrow, types, ["alternate_pblsh_dt", "translation_pblsh_dt", "link_pblsh_dt"], since)
+    return _with_master(t, _sample_links(t, _bridge(t), _alternate_and_translated(t)), _of_types(types), since)
+
+
+def _parents(t: Tables) -> DataFrame:
+    """Market and brand groups above staging groups, with the country of the link."""
+    return group_parents(t["group_links"], t["groups"], STAGING, [MARKET, BRAND], with_country=True)
 
 
 def _to_parent(bridge: DataFrame, parents: DataFrame, with_country: bool) -> DataFrame:
@@ -100,19 +115,19 @@ def _to_parent(bridge: DataFrame, parents: DataFrame, with_country: bool) -> Dat
     return lookup(narrow, parents, {"prod_grp_id": "prod_grp_id_child"}, take, how="inner").drop("prod_grp_id")
 
 
+def _market_links(t: Tables, bridge: DataFrame, countries: DataFrame, parents: DataFrame) -> DataFrame:
+    markets = parents.filter(F.col("grp_prps_cd") == MARKET)
+    return _to_parent(bridge, markets, with_country=True).join(countries, ["prod_id", "cntry_cd"])
+
+
 def market_feed(t: Tables, since: str, types: Sequence[str]) -> DataFrame:
     """Products by the market group above their staging group, where all three countries agree."""
-    parents = group_parents(t["group_links"], t["groups"], STAGING, [MARKET], with_country=True)
-    narrow = _to_parent(_bridge(t), parents, with_country=True)
-    narrow = narrow.join(_alternate_and_translated(t), ["prod_id", "cntry_cd"])
-    return _with_master(t, narrow, types, ["alternate_pblsh_dt", "translation_pblsh_dt", "link_pblsh_dt"], since)
+    return _with_master(t, _market_links(t, _bridge(t), _alternate_and_translated(t), _parents(t)), _of_types(types), since)
 
 
-def brand_feed(t: Tables, since: str, types: Sequence[str]) -> DataFrame:
-    """Products by the brand group above their staging group, where product and group are
-    translated for the same country and the group has the dialect the parameters ask for."""
-    parents = group_parents(t["group_links"], t["groups"], STAGING, [BRAND], with_country=False)
-    narrow = _to_parent(_bridge(t), parents, with_country=False)
+def _brand_links(t: Tables, bridge: DataFrame, parents: DataFrame) -> DataFrame:
+    brands_above = parents.filter(F.col("grp_prps_cd") == BRAND).drop("cntry_cd").distinct()
+    narrow = _to_parent(bridge, brands_above, with_country=False)
     brands = t["groups"].filter(F.col("grp_prps_cd") == BRAND).select("prod_grp_id").distinct()
     translated = max_per_key(
         t["group_translations"].join(brands, "prod_grp_id"),
@@ -140,9 +155,31 @@ def brand_feed(t: Tables, since: str, types: Sequence[str]) -> DataFrame:
         {},
         how="inner",
     ).drop("_dialect")
-    narrow = narrow.join(_countries(t["translations"], "translation_pblsh_dt"), ["prod_id", "cntry_cd"])
-    published = ["translation_pblsh_dt", "link_pblsh_dt", "group_translation_pblsh_dt"]
-    return _with_master(t, narrow, types, published, since)
+    return narrow.join(_countries(t["translations"], "translation_pblsh_dt"), ["prod_id", "cntry_cd"])
+
+
+def brand_feed(t: Tables, since: str, types: Sequence[str]) -> DataFrame:
+    """Products by the brand group above their staging group, where product and group are
+    translated for the same country and the group has the dialect the parameters ask for."""
+    return _with_master(t, _brand_links(t, _bridge(t), _parents(t)), _of_types(types), since)
+
+
+def all_feeds(t: Tables, since: str, types: Sequence[str], sample_types: Sequence[str] = SAMPLE_TYPES) -> DataFrame:
+    """The rows of the sample, market and brand feeds together.
+
+    The links of the feeds are one narrow frame with a mark for the sample feed, and the master joins it once: its type
+    is tested against the mark. Bridge, countries and parents are the same plans in each feed.
+    """
+    bridge, countries, parents = _bridge(t), _alternate_and_translated(t), _parents(t)
+    links = [_sample_links(t, bridge, countries), _market_links(t, bridge, countries, parents), _brand_links(t, bridge, parents)]
+    columns = ["prod_id", *FEED_LINKS, *[c for c in PUBLISHED if c not in FEED_LINKS]]
+    marked = []
+    for number, frame in enumerate(links):
+        missing = {c: F.lit(None).cast("date") for c in PUBLISHED if c not in frame.columns}
+        marked.append(frame.withColumns({**missing, FEED: F.lit(number == 0)}).select(*columns, FEED))
+    wanted = F.when(F.col(FEED), _of_types(sample_types)).otherwise(_of_types(types))
+    master = t["prod"].filter(_of_types([*sample_types, *types]))
+    return _with_master({**t, "prod": master}, union_feeds(marked), wanted, since)
 
 
 def touched_products(t: Tables, since: str) -> DataFrame:
@@ -356,9 +393,6 @@ def product_feed(t: Tables, since: str, own_type: str, run: RunContext) -> DataF
     types = (COMPETITOR, own_type)
     master = t["prod"].select(PRODUCT_MASTER)
     narrow = {**t, "prod": narrow_master(master)}
-    feed = union_feeds(
-        [sample_feed(narrow, since), market_feed(narrow, since, types), brand_feed(narrow, since, types)]
-    )
-    chosen = candidates(feed, t).filter(eligible(run.as_of_date))
+    chosen = candidates(all_feeds(narrow, since, types), t).filter(eligible(run.as_of_date))
     wanted = master.filter(F.col("prod_typ").isin([*SAMPLE_TYPES, *types]))
     return audit_stamp(project(add_master(chosen, wanted), STAGED_PRODUCT), run)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -34,6 +37,26 @@ def build_session(app_name: str = "martloom", master: str | None = None, **extra
     return builder.getOrCreate()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to Python workers, once per application: they need not start where the driver did.
+
+    The driver's file server hands it out, so nothing but the driver reads the archive.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="run-"), f"{package.name}.zip")
+    with zipfile.ZipFile(archive, "w") as packed:
+        for source in sorted(package.rglob("*.py")):
+            packed.write(source, source.relative_to(package.parent))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the settings above to a session somebody else built."""
     for key, value in SETTINGS.items():

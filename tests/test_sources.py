@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from martloom.plans.replicate import bulk_replicate
 from martloom.session import partitions_for, scratch_path, size_shuffle
 from martloom.sources.landing import latest_file, read_landing
-from martloom.sources.sinks import export_delimited, read_delimited, write_stage
+from martloom.sources.sinks import export_delimited, export_single_file, read_delimited, write_stage
 from martloom.sources.tables import Database, Folder, Split, read_table, read_tables, run_queries, run_query
 
 
@@ -78,12 +78,33 @@ def test_wide_rows_after_narrow_ones_keep_files_small(spark):
     width = F.when(F.col("id") < 20_000, 2).otherwise(700)
     df = spark.range(20_400).coalesce(1).select(F.col("id").cast("string").alias("a"), F.repeat(F.lit('"x'), width).alias("b"))
     targets = [f"{base}/one", f"{base}/two"]
+    before = set(Path(base).parent.glob("export-*"))
     export_delimited(df, targets, file_bytes=64_000)
     for target in targets:
         assert max(p.stat().st_size for p in files(target)) <= 64_000 + 10
         assert read_delimited(spark, target, ["a", "b"]).exceptAll(df).count() == 0
         assert read_delimited(spark, target, ["a", "b"]).count() == 20_400
-    assert not list(Path(base).parent.glob("export-*")), "the copy is removed"
+    assert set(Path(base).parent.glob("export-*")) == before, "the copy is removed"
+
+
+def test_files_of_an_export_are_half_full_and_its_copy_is_read_once_a_target(spark):
+    target = scratch_path(spark, "test-export")
+    df = spark.range(6_000).repartition(3).select(F.repeat(F.lit("x"), (F.col("id") % 50 * 7).cast("int")).alias("a"), "id")
+    wide = spark.createDataFrame([("y" * 5_000, -1), ("z" * 30_000, -2)], "a string, id long")
+    export_delimited(df.unionByName(wide), [target], file_bytes=20_000)
+    sizes = [p.stat().st_size for p in files(target) if "\nzzz" not in p.read_text()]
+    assert max(sizes) <= 20_000 + 10
+    assert sum(size < 10_000 for size in sizes) <= 3 + 1 + 2, "the last file of each partition, and wide rows"
+    assert read_delimited(spark, target, ["a", "id"]).count() == 6_002
+
+
+@pytest.mark.parametrize("rows_out", [0, 1, 5_000])
+def test_one_file_has_one_header_and_all_rows_in_order(spark, rows_out):
+    target = f"{scratch_path(spark, 'test-single')}/one.csv"
+    df = spark.range(rows_out).repartition(5).select("id", F.concat(F.lit('q"'), F.col("id")).alias("t"))
+    export_single_file(df, target, order_by=["id"])
+    lines = Path(target.removeprefix("file:")).read_text().splitlines()
+    assert lines == ["id,t", *[f'{k},"q""{k}"' for k in range(rows_out)]]
 
 
 def test_query_arguments_are_bound(spark, rows):
