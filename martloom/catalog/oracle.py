@@ -532,15 +532,18 @@ SELECT CAST(o->>'event_id' AS BIGINT) AS event_id, o->>'event_type' AS event_typ
   SELECT unnest(CASE WHEN line LIKE '[%' THEN CAST(CAST(line AS JSON) AS JSON[]) ELSE [CAST(line AS JSON)] END) AS o
   FROM in_landed_line WHERE json_valid(line)) x"""
 BODIES["stream_rejects"] = "SELECT line, COUNT(*) AS n FROM in_landed_line WHERE TRIM(line) <> '' AND NOT json_valid(line) GROUP BY line"
-BODIES["incremental_run"] = f"""
+_EARLIER_AND_LATER = f"""
 WITH earlier AS ({WINDOWED} > '{AFTER}' AND Participant_ToV_Updated_Date_MERC__c <= '{BETWEEN}'),
      later AS ({WINDOWED} > '{BETWEEN}' AND Participant_ToV_Updated_Date_MERC__c <= '{UNTIL}')
 SELECT owner_id, meeting_id, CASE WHEN again THEN 'N' ELSE 'Y' END AS is_active, '{RUN_TS}' AS created_ts,
        CASE WHEN again THEN '{NEXT_TS}' ELSE '{RUN_TS}' END AS updated_ts, CAST(77 AS BIGINT) AS created_by_job_exec_id,
        CAST(CASE WHEN again THEN 78 ELSE 77 END AS BIGINT) AS updated_by_job_exec_id
-FROM (SELECT *, owner_id IN (SELECT owner_id FROM later) AS again FROM earlier) e
+FROM (SELECT *, owner_id IN (SELECT owner_id FROM later) AS again FROM earlier) e"""
+BODIES["incremental_run"] = f"""{_EARLIER_AND_LATER}
 UNION ALL
 SELECT owner_id, meeting_id, 'Y', '{NEXT_TS}', '{NEXT_TS}', CAST(78 AS BIGINT), CAST(78 AS BIGINT) FROM later"""
+BODIES["job_rollback"] = _EARLIER_AND_LATER
+BODIES["job_repeated_after_rollback"] = BODIES["incremental_run"]
 BODIES["stream_history"] = f"""
 WITH first_rows AS (SELECT o_custkey AS k, o_orderpriority AS payload FROM orders),
      second_rows AS (SELECT k, payload FROM in_stage),

@@ -18,7 +18,7 @@ from martloom.operators.incremental import changed_since, window_rows
 from martloom.operators.lookup import group_parents, lookup, lookup_with_fallback
 from martloom.operators.schema import all_text, enforce_schema, schema_of_codes
 from martloom.plans import columns as C
-from martloom.plans import exports, groups, indications, products, spend, writeback
+from martloom.plans import exports, groups, indications, jobs, products, spend, writeback
 from martloom.plans.replicate import bulk_replicate
 from martloom.plans.runner import IncrementalJob
 from martloom.session import scratch_path, size_shuffle, tune
@@ -585,9 +585,7 @@ def history_rollback(i: Inputs) -> DataFrame:
     return H.rollback_history(applied, RUN.exec_id)
 
 
-@query("incremental_run")
-def incremental_run(i: Inputs) -> DataFrame:
-    base = scratch_path(i.spark, "incremental")
+def _two_runs(i: Inputs, base: str) -> IncrementalJob:
     updated = "Participant_ToV_Updated_Date_MERC__c"
 
     def extract(after: str, until: str) -> DataFrame:
@@ -602,10 +600,34 @@ def incremental_run(i: Inputs) -> DataFrame:
         first_bound=AFTER,
         stage=Folder(f"{base}/stage"),
         stage_table="meetings",
-        history=HistoryTable(i.spark, f"{base}/history", schema, "owner_id", stamp_exec=True),
+        history=HistoryTable(i.spark, f"{base}/history/meetings", schema, "owner_id", stamp_exec=True),
     )
     job.run(i.spark, BETWEEN, RUN)
     job.run(i.spark, UNTIL, NEXT_RUN)
+    return job
+
+
+@query("incremental_run")
+def incremental_run(i: Inputs) -> DataFrame:
+    return _two_runs(i, scratch_path(i.spark, "incremental")).history.read()
+
+
+@query("job_rollback")
+def job_rollback(i: Inputs) -> DataFrame:
+    base = scratch_path(i.spark, "incremental")
+    job = _two_runs(i, base)
+    places = jobs.Places(Folder(base), Folder(f"{base}/stage"), base)
+    jobs.roll_back(i.spark, places, "meetings", "owner_id", NEXT_RUN.exec_id)
+    return job.history.read()
+
+
+@query("job_repeated_after_rollback")
+def job_repeated_after_rollback(i: Inputs) -> DataFrame:
+    base = scratch_path(i.spark, "incremental")
+    job = _two_runs(i, base)
+    places = jobs.Places(Folder(base), Folder(f"{base}/stage"), base)
+    jobs.roll_back(i.spark, places, "meetings", "owner_id", NEXT_RUN.exec_id)
+    job.run(i.spark, UNTIL, NEXT_RUN)
     return job.history.read()
 
 

@@ -119,6 +119,16 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def roll_back(spark: SparkSession, places: Places, table: str, key: str, exec_id: int) -> int:
+    """Take the rows one run created out of a stage's history, and give its new version.
+
+    Rows the run had closed stay closed, and the bookmark stays: the same run can be repeated over its own window, which
+    publishes it again.
+    """
+    schema = read_table(tune(spark), places.stage, table).schema
+    return HistoryTable(spark, f"{places.state}/history/{table}", schema, key).rollback(exec_id)
+
+
 def _moment(run: RunContext) -> str:
     return run.run_ts.strftime("%Y-%m-%d %H:%M:%S")
 

@@ -36,5 +36,5 @@ class IncrementalJob:
             staged = read_table(spark, self.stage, self.stage_table)
             self.history.publish(staged, run, token=f"run-{run.exec_id}-{after}-{until}")
         if not finished:
-            self.bookmark.commit(until, run.exec_id)
+            self.bookmark.commit(until, run.exec_id, after)
         return after, until

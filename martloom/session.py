@@ -79,6 +79,15 @@ def remove_path(spark: SparkSession, path: str) -> None:
     location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
+def replace_path(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put what was written at ``fresh`` in the place of ``path``."""
+    source, location = spark._jvm.org.apache.hadoop.fs.Path(fresh), spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(location, True)
+    if not system.rename(source, location):
+        raise OSError(f"{fresh} could not be renamed to {path}")
+
+
 def input_bytes(spark: SparkSession, paths: Iterable[str]) -> int:
     """Total file size under ``paths``; one metadata call per path, no data is read."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()

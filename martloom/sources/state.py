@@ -40,8 +40,14 @@ def _read_log(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     return _literal_rows(spark, _schema(ddl), None)
 
 
-def _append_log(spark: SparkSession, path: str, ddl: str, row: tuple) -> None:
-    _literal_rows(spark, _schema(ddl), row).write.mode("append").json(path)
+def _create_entry(spark: SparkSession, folder: str, number: int, entry: dict) -> None:
+    """Add one file to a log, named by its number. A second writer of the same number fails here."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{number:012d}.json")
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, False)
+    try:
+        out.write(bytearray(json.dumps(entry).encode()))
+    finally:
+        out.close()
 
 
 @dataclass(frozen=True)
@@ -74,9 +80,13 @@ class Bookmark:
         before = log.filter(F.col("seq") == mine - 1).head()
         return before["value"] if before else default, True
 
-    def commit(self, value: str, exec_id: int) -> None:
+    def commit(self, value: str, exec_id: int, after: str | None = None) -> None:
+        """Set the bound. A run that started from ``after`` fails if another run has moved the bound since, or does so at the same time."""
         last = self._last()
-        _append_log(self.spark, self.path, BOOKMARK_SCHEMA, ((last["seq"] + 1) if last else 1, value, exec_id))
+        if last and after is not None and last["value"] != after:
+            raise RuntimeError(f"another run has moved the bound from {after} to {last['value']}")
+        seq = (last["seq"] + 1) if last else 1
+        _create_entry(self.spark, self.path, seq, {"seq": seq, "value": value, "exec_id": exec_id})
 
 
 @dataclass(frozen=True)
@@ -179,14 +189,8 @@ class HistoryTable:
         )
 
     def _commit(self, version: int, exec_id: int | None, removed: int | None, token: str | None, segment: str | None) -> None:
-        """Add one file to the log, named by its version. A second writer of the same version fails here."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/commits/{version:012d}.json")
         entry = {"version": version, "exec_id": exec_id, "removed_exec_id": removed, "token": token, "segment": segment}
-        out = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(path, False)
-        try:
-            out.write(bytearray(json.dumps(entry).encode()))
-        finally:
-            out.close()
+        _create_entry(self.spark, f"{self.path}/commits", version, entry)
 
     def publish(self, stage: DataFrame, run: RunContext, token: str | None = None) -> int:
         """Append the staged rows as one version, which closes the older rows of their keys.

@@ -127,3 +127,24 @@ def test_written_back_ids_are_numbers(spark, places):
     found = bundle["replicated_products"]
     assert found.columns == ["sfdc_id", "prod_id", "product_external_id"]
     assert {r["sfdc_id"]: r["prod_id"] for r in found.collect()} == {"S1": 12, "S2": None}
+
+
+def test_a_second_writer_of_a_bookmark_fails(spark):
+    bookmark = Bookmark(spark, scratch_path(spark, "test-bookmark"))
+    bookmark.commit("2024", 1, "2023")
+    after, _ = bookmark.window("2023", "2025", 2)
+    bookmark.commit("2025", 3, after)
+    with pytest.raises(RuntimeError, match="another run"):
+        bookmark.commit("2026", 2, after)
+    assert bookmark.read("2023") == "2025"
+
+
+def test_a_failed_run_leaves_the_stage_as_it_was(spark):
+    target = Folder(scratch_path(spark, "test-stage"))
+    write_stage(spark.range(5), target, "t")
+    broken = spark.range(3).select(F.raise_error(F.lit("stopped")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="stopped"):
+        write_stage(broken, target, "t")
+    assert read_table(spark, target, "t").count() == 5
+    write_stage(read_table(spark, target, "t").filter("id > 2"), target, "t")
+    assert read_table(spark, target, "t").count() == 2
