@@ -12,6 +12,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
@@ -123,31 +124,51 @@ def _test(words: np.ndarray) -> Test:
     return within
 
 
+_COMPACT = "lang string, words array<string>, hashes binary, codes binary"
+
+
+def compacted(chunks: DataFrame, frequent: Broadcast) -> DataFrame:
+    """The chunks without rare words: a place of theirs ends a piece, as no phrase holds one. Adds the words' hashes."""
+
+    def compact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        usual_words = _test(frequent.value)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                words = batch.column("words")[k].values
+                hashes = _word_hashes(batch.column("lang")[k].as_py(), words.cast(pa.binary()).to_pylist())
+                usual = usual_words(hashes)
+                number = np.append(np.where(usual, np.cumsum(usual) - 1, -1), -1).astype(np.int32)  # the last entry stands for -1
+                codes = number[np.frombuffer(batch.column("codes")[k].as_py(), np.int32)]
+                codes = codes[(codes >= 0) | np.append(False, codes[:-1] >= 0)]
+                columns = [batch.column("lang").slice(k, 1), pa.array([words.filter(pa.array(usual)).to_pylist()], pa.list_(pa.string()))]
+                columns += [pa.array([x.tobytes()], pa.binary()) for x in (hashes[usual], codes)]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "words", "hashes", "codes"])
+
+    return chunks.select("lang", "words", "codes").mapInArrow(compact, _COMPACT)
+
+
 class Growth:
-    """What a chunk needs to find its phrases of ``size`` words: the filters of the levels below."""
+    """What a chunk needs to find its phrases of ``size`` words: the open words and the phrases of the level below."""
 
-    def __init__(self, size: int, frequent: Broadcast, open_words: Broadcast, shorter: Broadcast | None):
-        self.size, self.frequent, self.open_words, self.shorter = size, frequent, open_words, shorter
+    def __init__(self, size: int, open_words: Broadcast, shorter: Broadcast | None):
+        self.size, self.open_words, self.shorter = size, open_words, shorter
 
-    def places(self, lang: str, words: list[bytes], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def places(self, hashes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts of phrases whose prefix is frequent behind an open first word, or whose suffix is before an open last word; their hashes."""
-        hashes = _word_hashes(lang, words)
-        usual, is_open = _test(self.frequent.value)(hashes), _test(self.open_words.value)(hashes)
-        in_usual = np.append(usual, False)[codes]  # the last entry stands for -1, between pieces
         last = len(codes) - self.size + 1
         if last <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        fits = np.ones(last, bool)
+        usual, fits = codes >= 0, np.ones(last, bool)
         for k in range(self.size):
-            fits &= in_usual[k : k + last]
-        starts = np.flatnonzero(fits)
-        opens_first, opens_last = is_open[codes[starts]], is_open[codes[starts + self.size - 1]]
-        some = opens_first | opens_last
-        starts, opens_first, opens_last = starts[some], opens_first[some], opens_last[some]
+            fits &= usual[k : k + last]
+        is_open = np.append(_test(self.open_words.value)(hashes), False)[codes]
+        starts = np.flatnonzero(fits & (is_open[:last] | is_open[self.size - 1 :]))
         if self.shorter is not None:
             within = _test(self.shorter.value)
+            opens_first, opens_last = is_open[starts], is_open[starts + self.size - 1]
             opens_first[opens_first] = within(self._hashes(hashes, codes, starts[opens_first], self.size - 1))
-            opens_last[opens_last] = within(self._hashes(hashes, codes, starts[opens_last] + 1, self.size - 1))
+            asked = opens_last & ~opens_first
+            opens_last[asked] = within(self._hashes(hashes, codes, starts[asked] + 1, self.size - 1))
             starts = starts[opens_first | opens_last]
         return starts, self._hashes(hashes, codes, starts, self.size)
 
@@ -155,14 +176,15 @@ class Growth:
         return reduce(_extended, (hashes[codes[starts + k]] for k in range(1, size)), hashes[codes[starts]])
 
 
-def _of_chunks(chunks: DataFrame, found: Callable[[str, list[bytes], np.ndarray], pa.RecordBatch], schema: str) -> DataFrame:
+def _of_chunks(chunks: DataFrame, columns: list[str], found: Callable[..., pa.RecordBatch], schema: str) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                words = batch.column("words")[k].values.cast(pa.binary()).to_pylist()
-                yield found(batch.column("lang")[k].as_py(), words, np.frombuffer(batch.column("codes")[k].as_py(), np.int32))
+                hashes = np.frombuffer(batch.column("hashes")[k].as_py(), np.uint64)
+                codes = np.frombuffer(batch.column("codes")[k].as_py(), np.int32)
+                yield found(hashes, codes, *[batch.column(c)[k] for c in columns])
 
-    return chunks.select("lang", "words", "codes").mapInArrow(each, schema)
+    return chunks.select("hashes", "codes", *columns).mapInArrow(each, schema)
 
 
 def grown(chunks: DataFrame, growth: Growth, min_count: int) -> DataFrame:
@@ -173,27 +195,27 @@ def grown(chunks: DataFrame, growth: Growth, min_count: int) -> DataFrame:
     """
     size = growth.size
 
-    def by_hash(lang: str, words: list[bytes], codes: np.ndarray) -> pa.RecordBatch:
-        found, counts = np.unique(growth.places(lang, words, codes)[1], return_counts=True)
+    def by_hash(hashes: np.ndarray, codes: np.ndarray) -> pa.RecordBatch:
+        found, counts = np.unique(growth.places(hashes, codes)[1], return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], names=["h", "f"])
 
-    hashed = _of_chunks(chunks, by_hash, "h long, f long").groupBy("h").agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count)
+    hashed = _of_chunks(chunks, [], by_hash, "h long, f long").groupBy("h").agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count)
     likely = _filter(hashed)
 
-    def by_words(lang: str, words: list[bytes], codes: np.ndarray) -> pa.RecordBatch:
-        starts, hashes = growth.places(lang, words, codes)
-        kept = _test(likely.value)(hashes)
+    def by_words(hashes: np.ndarray, codes: np.ndarray, lang: pa.Scalar, words: pa.ListScalar) -> pa.RecordBatch:
+        starts, grams_hash = growth.places(hashes, codes)
+        kept = _test(likely.value)(grams_hash)
         grams = codes[starts[kept][:, None] + np.arange(size)[None, :]]
         number = np.zeros(len(grams), np.int64)  # equal phrases get equal numbers, word by word
         for k in range(size):
-            _, number = np.unique(number * (len(words) + 1) + grams[:, k], return_inverse=True)
+            _, number = np.unique(number * len(hashes) + grams[:, k], return_inverse=True)
         _, first, counts = np.unique(number, return_index=True, return_counts=True)
-        texts = [b" ".join(words[w] for w in gram) for gram in grams[first].tolist()]
-        columns = [pa.array([lang] * len(texts), pa.string()), pa.array(texts, pa.binary()).cast(pa.string())]
-        columns += [pa.array(hashes[kept][first].view(np.int64)), pa.array(counts)]
+        parts = [words.values.take(pa.array(grams[first, k])) for k in range(size)]
+        texts = pc.binary_join_element_wise(*parts, pa.scalar(" "))
+        columns = [pa.array([lang.as_py()] * len(texts), pa.string()), texts, pa.array(grams_hash[kept][first].view(np.int64)), pa.array(counts)]
         return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "h", "f"])
 
-    counted = _of_chunks(chunks, by_words, "lang string, phrase string, h long, f long")
+    counted = _of_chunks(chunks, ["lang", "words"], by_words, "lang string, phrase string, h long, f long")
     return counted.groupBy("lang", "phrase").agg(F.first("h").alias("h"), F.sum("f").alias("f")).filter(F.col("f") >= min_count)
 
 
@@ -292,7 +314,7 @@ def collocations(
     settled once its last rank scores above the bound of all words that are not open yet, so equal scores are all known;
     the others go into the next round, which opens more words, in the end all of them.
 
-    Every count is exact, over all documents. Documents are encoded once; tasks count what they hold before anything is
+    Every count is exact, over all documents. Documents are encoded once, then without rare words; tasks count what they hold before anything is
     shuffled, so repeated rows and common phrases meet as one row a task. Filters have a fixed size and only let too
     much through. Null texts and empty ones have no words, a null language counts as ``und``, repeated rows count again,
     other columns are ignored; without phrases there are no rows.
@@ -302,14 +324,14 @@ def collocations(
     pairs = chunks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
     counted = pairs.groupBy("lang", F.col("w.words").alias("phrase")).agg(F.sum("w.counts").alias("f")).filter(F.col("f") >= min_count)
     words = stored(_hashed_words(counted), "phrase-words")
-    frequent = _filter(words)
+    usual = stored(compacted(chunks, _filter(words)), "phrase-places")
     left, results = totals, []
     for number, fraction in enumerate(rounds):
         languages = stored(left.join(_limits(words, fraction), "lang"), f"phrase-limits-{number}")
         own = words.join(languages.select("lang", "largest"), "lang").filter(F.col("f") <= F.col("largest"))
         opened, shorter, levels = _filter(own.select("h")), None, [words]
         for size in range(2, max_words + 1):
-            level = stored(grown(chunks, Growth(size, frequent, opened, shorter), min_count), f"phrases-{number}-{size}")
+            level = stored(grown(usual, Growth(size, opened, shorter), min_count), f"phrases-{number}-{size}")
             levels.append(level)
             if not level.head(1):
                 break
