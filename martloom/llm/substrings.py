@@ -21,19 +21,27 @@ HOT_RUNS = 50_000
 LAST = np.iinfo(np.int64).max
 
 REPLY = "block int, bucket int, kind int, data binary"
-ASK = "block int, bucket int, keys binary, lengths binary, firsts binary, data binary"
+ASK = "block int, bucket int, kind int, keys binary, lengths binary, firsts binary, data binary"
+ASK_COLUMNS = ["block", "bucket", "kind", "keys", "lengths", "firsts", "data"]
+#: Kinds of rows: what a bucket says of keys, spans a bucket has resolved, what a block keeps of itself for the cut.
+MARKS, SPANS, OWN = 0, 1, 2
 
 
 def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % buckets
 
 
+def in_order(rows: pd.DataFrame) -> tuple[np.ndarray, list[bool], list[bytes]]:
+    """Ids, whether they are null, and texts of a block in an order that does not depend on how its rows came in."""
+    found = sorted(zip(rows["own"].tolist(), rows["unnamed"].tolist(), rows["text"].tolist(), strict=True))
+    return np.array([f[0] for f in found], np.int64), [f[1] for f in found], [f[2].encode() for f in found]
+
+
 class Block:
     """The documents of a block, their runs, and the keys it asks for, by bucket and key."""
 
     def __init__(self, rows: pd.DataFrame, buckets: int):
-        self.ids = rows["own"].to_numpy(np.int64)
-        self.texts = [t.encode() for t in rows["text"]]
+        self.ids, self.unnamed, self.texts = in_order(rows)
         self.runs = [window_runs(t) for t in self.texts]
         self.buckets = buckets
         keys = np.concatenate([r[2] for r in self.runs]) if self.runs else np.zeros(0, np.uint64)
@@ -61,35 +69,50 @@ class Block:
         return marks
 
     def snippets(self, marks: np.ndarray):
-        """The distinct stretches to be resolved with the first document of each, in a fixed order by bucket.
+        """The distinct stretches to be resolved: key, bytes, first document of each and bucket, in a fixed order by bucket.
 
-        And for every document its shared runs: start, end and the stretch's place in that order.
+        And the shared runs: document, start, end and the stretch's place in that order.
         """
-        first: dict[tuple[int, bytes], int] = {}
-        found, at = [], 0
+        place: dict[tuple[int, bytes], int] = {}
+        documents, begins, stops, which = [], [], [], []
+        at = 0
         for number, (starts, ends, keys) in enumerate(self.runs):
-            here = self.at[at : at + len(keys)]
+            said = marks[self.at[at : at + len(keys)]]
             at += len(keys)
-            text, own = self.texts[number], int(self.ids[number])
-            marked = np.flatnonzero(marks[here])
-            runs = zip(starts[marked].tolist(), ends[marked].tolist(), keys[marked].tolist(), marks[here[marked]].tolist(), strict=True)
+            text = self.texts[number]
+            marked = np.flatnonzero(said)
+            if not len(marked):
+                continue
+            before = len(begins)
+            runs = zip(starts[marked].tolist(), ends[marked].tolist(), keys[marked].tolist(), said[marked].tolist(), strict=True)
             for start, end, key, mark in runs:
                 if mark == 1:
-                    parts = [(start, end, (key, text[start : end + SPAN - 1]))]
+                    begins.append(start)
+                    stops.append(end)
+                    which.append(place.setdefault((key, text[start : end + SPAN - 1]), len(place)))
                 else:
-                    parts = []
                     for p in range(start, end):
                         window = text[p : p + SPAN]
-                        parts.append((p, p + 1, (xxhash.xxh64_intdigest(window), window)))
-                for begin, stop, name in parts:
-                    found.append((number, begin, stop, name))
-                    if own < first.get(name, LAST + 1):
-                        first[name] = own
-        names = list(first)
+                        begins.append(p)
+                        stops.append(p + 1)
+                        which.append(place.setdefault((xxhash.xxh64_intdigest(window), window), len(place)))
+            documents.append(np.full(len(begins) - before, number))
+        names = list(place)
         keys = np.array([n[0] for n in names], np.uint64)
         bucket = _bucket_of(keys, self.buckets)
-        order = sorted(range(len(names)), key=list(zip(bucket.tolist(), names, strict=True)).__getitem__)
-        return [names[i] for i in order], [first[names[i]] for i in order], bucket[order], found
+        order = np.lexsort((keys, bucket))
+        same = keys[order[1:]] == keys[order[:-1]]
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], same.view(np.int8), [0]])))
+        for low, high in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+            order[low : high + 1] = sorted(order[low : high + 1].tolist(), key=lambda i: names[i][1])
+        rank = np.empty(len(names), np.int64)
+        rank[order] = np.arange(len(names))
+        documents = np.concatenate([*documents, np.zeros(0, np.int64)]).astype(np.int64)
+        which = rank[np.array(which, np.int64)]
+        firsts = np.full(len(names), LAST)
+        np.minimum.at(firsts, which, self.ids[documents])
+        found = documents, np.array(begins, np.int64), np.array(stops, np.int64), which
+        return keys[order], [names[i][1] for i in order.tolist()], firsts, bucket[order], found
 
 
 def _ask(buckets: int):
@@ -114,29 +137,46 @@ def _count(rows: pd.DataFrame) -> pd.DataFrame:
     runs = np.bincount(back, np.frombuffer(b"".join(rows["occurrences"]), np.int32), len(names))
     marks[(marks == 1) & (runs > HOT_RUNS)] = 2
     replies = np.split(marks[back], np.cumsum(sizes)[:-1])
-    return pd.DataFrame({"block": rows["block"], "bucket": rows["bucket"], "kind": 0, "data": [r.tobytes() for r in replies]})
+    return pd.DataFrame({"block": rows["block"], "bucket": rows["bucket"], "kind": MARKS, "data": [r.tobytes() for r in replies]})
+
+
+def _joined(documents: np.ndarray, starts: np.ndarray, ends: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, start and end of the maximal runs that spans cover; spans that touch are one. No end is beyond ``room``."""
+    low, high = documents * (room + 2) + starts, documents * (room + 2) + ends
+    order = np.argsort(low, kind="stable")
+    low, high = low[order], np.maximum.accumulate(high[order])
+    fresh = np.append(True, low[1:] > high[:-1])[: len(low)]
+    last = np.append(fresh[1:], True)[: len(low)]
+    documents = low[fresh] // (room + 2)
+    return documents, low[fresh] - documents * (room + 2), high[last] - documents * (room + 2)
+
+
+def _steps(values: np.ndarray) -> np.ndarray:
+    """Differences of neighbours: numbers that rise slowly travel as small ones."""
+    return np.diff(values, prepend=0)
 
 
 def _send(buckets: int):
     def send(rows: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(rows):
-            block = Block(rows, buckets)
-            names, firsts, bucket, _ = block.snippets(block.shared(replies))
-            edges = np.searchsorted(bucket, np.arange(buckets + 1))
-            for b in np.unique(bucket).tolist():
-                mine = slice(edges[b], edges[b + 1])
-                out.append(
-                    (
-                        int(rows["block"].iloc[0]),
-                        b,
-                        np.array([n[0] for n in names[mine]], np.uint64).tobytes(),
-                        np.array([len(n[1]) for n in names[mine]], np.int64).tobytes(),
-                        np.array(firsts[mine], np.int64).tobytes(),
-                        b"".join(n[1] for n in names[mine]),
-                    )
-                )
-        return pd.DataFrame(out, columns=["block", "bucket", "keys", "lengths", "firsts", "data"])
+        if not len(rows):
+            return pd.DataFrame([], columns=ASK_COLUMNS)
+        out, number = [], int(rows["block"].iloc[0])
+        block = Block(rows, buckets)
+        keys, data, firsts, bucket, (documents, begins, stops, which) = block.snippets(block.shared(replies))
+        lengths = np.array([len(d) for d in data], np.int64)
+        edges = np.searchsorted(bucket, np.arange(buckets + 1))
+        for b in np.unique(bucket).tolist():
+            mine = slice(edges[b], edges[b + 1])
+            out.append((number, b, 0, keys[mine].tobytes(), lengths[mine].tobytes(), firsts[mine].tobytes(), b"".join(data[mine])))
+        # What an earlier document of the block covers is known here; the rest waits for its stretch. The bucket hands both back.
+        known = firsts[which] < block.ids[documents]
+        room = max(map(len, block.texts))
+        spans = _joined(documents[known], begins[known], stops[known] + SPAN - 1, room)
+        waiting = [_steps(v[~known]) for v in (documents, begins, which)]
+        packed = [np.concatenate([_steps(spans[0]), _steps(spans[1]), spans[2] - spans[1]]), np.concatenate(waiting), edges]
+        parts = [p.astype(np.int32) for p in packed]
+        out.append((number, number % buckets, OWN, *[p.tobytes() for p in parts], b""))
+        return pd.DataFrame(out, columns=ASK_COLUMNS)
 
     return send
 
@@ -145,8 +185,10 @@ def _resolve(rows: pd.DataFrame) -> pd.DataFrame:
     """For every stretch sent to a bucket, its windows that stand in a document before the block's first with it.
 
     Equal stretches are one. Where a key has different ones, the windows of them that may be equal are suffix-sorted
-    within the key, and equal windows share the least document.
+    within the key, and equal windows share the least document. What blocks keep of themselves goes back to them as it is.
     """
+    own = rows[rows["kind"] == OWN]
+    rows = rows[rows["kind"] != OWN]
     asked = [len(k) // 8 for k in rows["keys"]]
     keys = np.frombuffer(b"".join(rows["keys"]), np.uint64)
     lengths = np.frombuffer(b"".join(rows["lengths"]), np.int64)
@@ -186,7 +228,11 @@ def _resolve(rows: pd.DataFrame) -> pd.DataFrame:
         reach[mixed] = np.minimum.reduceat(earliest, first_window[:-1])
     concerned = reach[which] < firsts
 
-    out, done = [], 0
+    out = [
+        (int(block), int(bucket), OWN, np.array([len(k), len(w), len(e)], np.int64).tobytes() + k + w + e)
+        for block, bucket, k, w, e in zip(own["block"], own["bucket"], own["keys"], own["lengths"], own["firsts"], strict=True)
+    ]
+    done = 0
     for block, bucket, n in zip(rows["block"], rows["bucket"], asked, strict=True):
         spans = []
         for i in np.flatnonzero(concerned[done : done + n]).tolist():
@@ -200,48 +246,53 @@ def _resolve(rows: pd.DataFrame) -> pd.DataFrame:
                     spans.extend((i, a, b) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
         done += n
         if spans:
-            out.append((int(block), int(bucket), 1, np.array(spans, np.int64).tobytes()))
+            out.append((int(block), int(bucket), SPANS, np.array(spans, np.int64).tobytes()))
     return pd.DataFrame(out, columns=["block", "bucket", "kind", "data"])
 
 
-def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    runs: list[tuple[int, int]] = []
-    for start, end in sorted(spans):
-        if runs and start <= runs[-1][1]:
-            runs[-1] = runs[-1][0], max(runs[-1][1], end)
-        else:
-            runs.append((start, end))
-    return runs
+def _kept_of_block(data: bytes):
+    """What ``_send`` packed: known spans (document, start, end), waiting runs (document, start, stretch), bucket edges."""
+    sizes = np.frombuffer(data, np.int64, 3)
+    spans, waiting, edges = (np.frombuffer(d, np.int32).astype(np.int64) for d in _sliced(data[sizes.nbytes :], sizes.tolist()))
+    documents, starts, widths = spans.reshape(3, -1)
+    starts = np.cumsum(starts)
+    return (np.cumsum(documents), starts, starts + widths), np.cumsum(waiting.reshape(3, -1), axis=1), edges
+
 
+def _sliced(data: bytes, sizes: list[int]) -> list[bytes]:
+    ends = np.cumsum(sizes).tolist()
+    return [data[end - size : end] for size, end in zip(sizes, ends, strict=True)]
 
-def _cut(buckets: int, keep_text: bool):
+
+def _cut(keep_text: bool):
     def cut(rows: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
-        block = Block(rows, buckets)
-        marks = block.shared(replies[replies["kind"] == 0])
-        names, firsts, bucket, found = block.snippets(marks)
-        number = {name: i for i, name in enumerate(names)}
-        edges = np.searchsorted(bucket, np.arange(buckets + 1))
-        covered: dict[int, list[tuple[int, int]]] = {}
-        resolved = replies[replies["kind"] == 1]
-        for b, data in zip(resolved["bucket"], resolved["data"], strict=True):
-            for i, low, high in np.frombuffer(data, np.int64).reshape(-1, 3).tolist():
-                covered.setdefault(int(edges[b]) + i, []).append((low, high))
-        spans: list[list[tuple[int, int]]] = [[] for _ in block.texts]
-        for document, start, end, name in found:
-            at = number[name]
-            if firsts[at] < block.ids[document]:
-                spans[document].append((start, end + SPAN - 1))
-            else:
-                spans[document].extend((start + low, start + high + SPAN - 1) for low, high in covered.get(at, ()))
+        ids, unnamed, texts = in_order(rows)
+        (documents, starts, ends), (later, begins, which), edges = _kept_of_block(replies["data"][replies["kind"] == OWN].iloc[0])
+        resolved = replies[replies["kind"] == SPANS]
+        found = [
+            np.frombuffer(data, np.int64).reshape(-1, 3) + (edges[b], 0, 0)
+            for b, data in zip(resolved["bucket"], resolved["data"], strict=True)
+        ]
+        covered = np.concatenate([np.zeros((0, 3), np.int64), *found])
+        covered = covered[np.argsort(covered[:, 0], kind="stable")]
+        first = np.searchsorted(covered[:, 0], which)
+        many = np.searchsorted(covered[:, 0], which, side="right") - first
+        at = np.repeat(first, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        shift = np.repeat(begins, many)
+        documents = np.concatenate([documents, np.repeat(later, many)])
+        starts = np.concatenate([starts, shift + covered[at, 1]])
+        ends = np.concatenate([ends, shift + covered[at, 2] + SPAN - 1])
+        documents, starts, ends = _joined(documents, starts, ends, max(map(len, texts), default=0))
+        bounds = np.searchsorted(documents, np.arange(len(texts) + 1)).tolist()
+        starts, ends = starts.tolist(), ends.tolist()
         out = []
-        for key, unnamed, text, own in zip(block.ids.tolist(), rows["unnamed"], block.texts, spans, strict=True):
-            runs = _merged(own)
+        for number, (key, nameless, text) in enumerate(zip(ids.tolist(), unnamed, texts, strict=True)):
             kept, at = [], 0
-            for start, end in runs:
-                kept.append(text[at:start])
-                at = end
+            for i in range(bounds[number], bounds[number + 1]):
+                kept.append(text[at : starts[i]])
+                at = ends[i]
             rest = b"".join([*kept, text[at:]])
-            row = (None if unnamed else key, len(text), len(text) - len(rest), len(runs), hashlib.sha256(rest).hexdigest())
+            row = (None if nameless else key, len(text), len(text) - len(rest), len(kept), hashlib.sha256(rest).hexdigest())
             out.append((*row, rest) if keep_text else row)
         names_out = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * keep_text]
         found = pd.DataFrame(out, columns=names_out)
@@ -276,5 +327,4 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     sent = by_block.cogroup(counted.groupBy("block")).applyInPandas(_send(buckets), ASK)
     resolved = sent.groupBy("bucket").applyInPandas(_resolve, REPLY)
     result = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text
-    replies = counted.unionByName(resolved)
-    return by_block.cogroup(replies.groupBy("block")).applyInPandas(_cut(buckets, keep_text), result)
+    return by_block.cogroup(resolved.groupBy("block")).applyInPandas(_cut(keep_text), result)

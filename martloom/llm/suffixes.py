@@ -8,6 +8,8 @@ import numpy as np
 SPAN = 50
 #: Bytes of the grams that anchor a window of ``SPAN`` bytes.
 GRAM = 16
+#: Bytes of a suffix that are compared as one number before any hash is.
+HEAD = 8
 #: Windows whose keys are made at a time.
 CHUNK = 1 << 18
 
@@ -79,22 +81,38 @@ class Suffixes:
         self.sums = prefix_sums(self.octets, powers(len(self.octets)))
         self.before = self.sums[places]
         self.scale = powers(len(self.octets) + 1, pow(_BASE, -1, 1 << 64))[places]
+        self.whole = (self.sums[places + SPAN] - self.before) * self.scale
+        heads = np.lib.stride_tricks.sliding_window_view(self.octets, HEAD)[places] if len(places) else np.zeros((0, HEAD), np.uint8)
+        self.heads = np.ascontiguousarray(heads).view(">u8").ravel().astype(np.uint64)
 
     def common(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Length of the common start of suffixes x and y, by binary search over equal prefix hashes."""
+        """Length of the common start of suffixes x and y of equal heads, by binary search over equal prefix hashes."""
         px, py, bx, by, sx, sy = self.places[x], self.places[y], self.before[x], self.before[y], self.scale[x], self.scale[y]
-        low, high = np.zeros(len(x), np.int64), np.full(len(x), SPAN)
-        for _ in range(SPAN.bit_length()):
+        low, high = np.full(len(x), HEAD), np.full(len(x), SPAN)
+        for _ in range((SPAN - HEAD).bit_length()):
             middle = (low + high + 1) >> 1
             same = (self.sums[px + middle] - bx) * sx == (self.sums[py + middle] - by) * sy
             low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
         return low
 
     def precedes(self, x: np.ndarray, y: np.ndarray, ties: bool) -> np.ndarray:
-        """Whether suffix x sorts before suffix y; equal ones as ``ties`` says."""
-        length = self.common(x, y)
-        at = np.minimum(length, SPAN - 1)
-        return np.where(length == SPAN, ties, self.octets[self.places[x] + at] < self.octets[self.places[y] + at])
+        """Whether suffix x sorts before suffix y; equal ones as ``ties`` says.
+
+        Different heads decide at once, equal hashes of all bytes are a tie, and only the rest is searched.
+        """
+        hx, hy = self.heads[x], self.heads[y]
+        before = hx < hy
+        even = np.flatnonzero(hx == hy)
+        tied = self.whole[x[even]] == self.whole[y[even]]
+        before[even[tied]] = ties
+        rest = even[~tied]
+        if len(rest):
+            xr, yr = x[rest], y[rest]
+            length = self.common(xr, yr)
+            at = np.minimum(length, SPAN - 1)
+            smaller = self.octets[self.places[xr] + at] < self.octets[self.places[yr] + at]
+            before[rest] = np.where(length == SPAN, ties, smaller)
+        return before
 
     def windows(self, x: np.ndarray) -> np.ndarray:
         return np.lib.stride_tricks.sliding_window_view(self.octets, SPAN)[self.places[x]]
