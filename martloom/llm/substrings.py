@@ -31,6 +31,29 @@ def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % buckets
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers of 64 bits byte by byte: the upper bytes of small numbers are one run of zeros, which compresses."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _numbers(data: bytes, kind: type = np.int64) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(kind).ravel()
+
+
+def _joined_numbers(parts: pd.Series, kind: type = np.int64) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *[_numbers(p, kind) for p in parts]])
+
+
+def _sorted_keys(parts: pd.Series) -> np.ndarray:
+    """Keys that were sent as the differences of a rising sequence."""
+    return np.concatenate([np.zeros(0, np.uint64), *[np.cumsum(_numbers(p, np.uint64), dtype=np.uint64) for p in parts]])
+
+
+def _steps(values: np.ndarray) -> np.ndarray:
+    """Differences of neighbours: numbers that rise slowly travel as small ones."""
+    return np.diff(values, prepend=values.dtype.type(0))
+
+
 def in_order(rows: pd.DataFrame) -> tuple[np.ndarray, list[bool], list[bytes]]:
     """Ids, whether they are null, and texts of a block in an order that does not depend on how its rows came in."""
     found = sorted(zip(rows["own"].tolist(), rows["unnamed"].tolist(), rows["text"].tolist(), strict=True))
@@ -51,7 +74,7 @@ class Block:
         np.minimum.at(least, self.at, owner)
         np.maximum.at(most, self.at, owner)
         self.several = least != most
-        self.occurrences = np.bincount(self.at, minlength=len(self.keys)).astype(np.int32)
+        self.occurrences = np.bincount(self.at, minlength=len(self.keys)).astype(np.int64)
         self.bucket = _bucket_of(self.keys, buckets)
 
     def questions(self):
@@ -119,7 +142,10 @@ def _ask(buckets: int):
     def ask(rows: pd.DataFrame) -> pd.DataFrame:
         block = Block(rows, buckets)
         number = int(rows["block"].iloc[0])
-        out = [(number, b, block.keys[p].tobytes(), block.several[p].tobytes(), block.occurrences[p].tobytes()) for b, p in block.questions()]
+        out = [
+            (number, b, _planes(_steps(block.keys[p])), block.several[p].tobytes(), _planes(block.occurrences[p]))
+            for b, p in block.questions()
+        ]
         return pd.DataFrame(out, columns=["block", "bucket", "keys", "several", "occurrences"])
 
     return ask
@@ -128,13 +154,13 @@ def _ask(buckets: int):
 def _count(rows: pd.DataFrame) -> pd.DataFrame:
     """Of every key asked for in a bucket: whether several documents hold it, and whether it has very many runs."""
     sizes = [len(k) // 8 for k in rows["keys"]]
-    keys = np.frombuffer(b"".join(rows["keys"]), np.uint64)
+    keys = _sorted_keys(rows["keys"])
     several = np.frombuffer(b"".join(rows["several"]), bool)
     names, back, blocks = np.unique(keys, return_inverse=True, return_counts=True)
     marks = np.zeros(len(names), np.uint8)
     marks[back[several]] = 1
     marks[blocks > 1] = 1
-    runs = np.bincount(back, np.frombuffer(b"".join(rows["occurrences"]), np.int32), len(names))
+    runs = np.bincount(back, _joined_numbers(rows["occurrences"]), len(names))
     marks[(marks == 1) & (runs > HOT_RUNS)] = 2
     replies = np.split(marks[back], np.cumsum(sizes)[:-1])
     return pd.DataFrame({"block": rows["block"], "bucket": rows["bucket"], "kind": MARKS, "data": [r.tobytes() for r in replies]})
@@ -151,11 +177,6 @@ def _joined(documents: np.ndarray, starts: np.ndarray, ends: np.ndarray, room: i
     return documents, low[fresh] - documents * (room + 2), high[last] - documents * (room + 2)
 
 
-def _steps(values: np.ndarray) -> np.ndarray:
-    """Differences of neighbours: numbers that rise slowly travel as small ones."""
-    return np.diff(values, prepend=0)
-
-
 def _send(buckets: int):
     def send(rows: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         if not len(rows):
@@ -167,15 +188,15 @@ def _send(buckets: int):
         edges = np.searchsorted(bucket, np.arange(buckets + 1))
         for b in np.unique(bucket).tolist():
             mine = slice(edges[b], edges[b + 1])
-            out.append((number, b, 0, keys[mine].tobytes(), lengths[mine].tobytes(), firsts[mine].tobytes(), b"".join(data[mine])))
+            numbers = _planes(_steps(keys[mine])), _planes(lengths[mine]), _planes(firsts[mine])
+            out.append((number, b, 0, *numbers, b"".join(data[mine])))
         # What an earlier document of the block covers is known here; the rest waits for its stretch. The bucket hands both back.
         known = firsts[which] < block.ids[documents]
         room = max(map(len, block.texts))
         spans = _joined(documents[known], begins[known], stops[known] + SPAN - 1, room)
         waiting = [_steps(v[~known]) for v in (documents, begins, which)]
         packed = [np.concatenate([_steps(spans[0]), _steps(spans[1]), spans[2] - spans[1]]), np.concatenate(waiting), edges]
-        parts = [p.astype(np.int32) for p in packed]
-        out.append((number, number % buckets, OWN, *[p.tobytes() for p in parts], b""))
+        out.append((number, number % buckets, OWN, *[_planes(p.astype(np.int64)) for p in packed], b""))
         return pd.DataFrame(out, columns=ASK_COLUMNS)
 
     return send
@@ -190,9 +211,7 @@ def _resolve(rows: pd.DataFrame) -> pd.DataFrame:
     own = rows[rows["kind"] == OWN]
     rows = rows[rows["kind"] != OWN]
     asked = [len(k) // 8 for k in rows["keys"]]
-    keys = np.frombuffer(b"".join(rows["keys"]), np.uint64)
-    lengths = np.frombuffer(b"".join(rows["lengths"]), np.int64)
-    firsts = np.frombuffer(b"".join(rows["firsts"]), np.int64)
+    keys, lengths, firsts = _sorted_keys(rows["keys"]), _joined_numbers(rows["lengths"]), _joined_numbers(rows["firsts"])
     data = b"".join(rows["data"])
     begins = np.append(0, np.cumsum(lengths))[:-1]
     place: dict[tuple[int, bytes], int] = {}
@@ -253,7 +272,7 @@ def _resolve(rows: pd.DataFrame) -> pd.DataFrame:
 def _kept_of_block(data: bytes):
     """What ``_send`` packed: known spans (document, start, end), waiting runs (document, start, stretch), bucket edges."""
     sizes = np.frombuffer(data, np.int64, 3)
-    spans, waiting, edges = (np.frombuffer(d, np.int32).astype(np.int64) for d in _sliced(data[sizes.nbytes :], sizes.tolist()))
+    spans, waiting, edges = (_numbers(d) for d in _sliced(data[sizes.nbytes :], sizes.tolist()))
     documents, starts, widths = spans.reshape(3, -1)
     starts = np.cumsum(starts)
     return (np.cumsum(documents), starts, starts + widths), np.cumsum(waiting.reshape(3, -1), axis=1), edges
