@@ -16,6 +16,8 @@ from martloom.llm.suffixes import SPAN, equal_classes, repeated_windows, window_
 #: Bytes of text that one task reads at a time, and blocks at least, so that small tables spread as well.
 BLOCK_BYTES = 16 << 20
 LEAST_BLOCKS = 64
+#: Buckets for each block: what one bucket sorts takes several times its bytes of memory.
+BUCKETS_A_BLOCK = 2
 #: A key with more runs than this is hot: its windows are then spread by their own bytes.
 HOT_RUNS = 50_000
 LAST = np.iinfo(np.int64).max
@@ -338,7 +340,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     number = F.col(doc_id).cast("bigint")
     named = docs.select(F.coalesce(number, F.lit(LAST)).alias("own"), number.isNull().alias("unnamed"), text_or_empty(text).alias("text"))
     blocks = max(LEAST_BLOCKS, -(-text_bytes(named, "text") // BLOCK_BYTES))
-    buckets = blocks
+    buckets = BUCKETS_A_BLOCK * blocks
     dealt = named.withColumn("block", F.pmod(F.xxhash64("own", "text"), F.lit(blocks)).cast("int"))
     by_block = dealt.groupBy("block")
     asked = by_block.applyInPandas(_ask(buckets), "block int, bucket int, keys binary, several binary, occurrences binary")
