@@ -334,8 +334,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     a third of all documents hold, is given up for its single windows, each a group by itself with one entry for each
     block; so no group grows with the number of documents. Rows between blocks and buckets are at most one for each key.
 
-    Ids are whole numbers; ids as text that is no number are an error. Null texts are empty. A null id counts as later than all others. Documents that share an id leave one another
-    alone. Texts shorter than ``SPAN`` bytes keep everything; an empty table gives no rows; extra columns are ignored.
+    Ids are whole numbers; ids as text that is no number are an error. Null texts are empty. A null id counts as later than
+    all others. Documents that share an id leave one another alone. Texts shorter than ``SPAN`` bytes keep everything; an empty table gives no rows; extra columns are ignored.
     """
     number = F.col(doc_id).cast("bigint")
     named = docs.select(F.coalesce(number, F.lit(LAST)).alias("own"), number.isNull().alias("unnamed"), text_or_empty(text).alias("text"))
