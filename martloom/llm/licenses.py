@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.common import text_or_empty
+from martloom.llm.license_texts import BODIES, BODY_PRIORITY, BODY_WEIGHT, NAME_PRIORITY, NAME_WEIGHT, NAMES
 
 # The base phrases and their labels.
 BASE_PHRASES = (
@@ -94,16 +96,32 @@ BARE_NAME_WORDS = 2
 # Words around which rules are tried, and what a text must hold for that to be worth while. Every match of a rule holds an anchor.
 ANCHOR_START = "licen"
 ANCHORS = ("spdx", "cc", "cc0", "gpl", "lgpl", "agpl", "gplv2", "gplv3", "unlicense", "wtfpl", "creative")
-#: Anchors only before a certain next word: statements and bare names that hold none of the others.
+#: Anchors only before a certain next word: statements, bare names and sentences that hold none of the others.
 ANCHOR_PAIRS = {
     "under": ("distributed", "redistributed", "released", "published", "available"),
-    "software": ("python",),
+    "software": ("python", "includes", "cryptographic", "unencumbered", "font"),
     "public": ("microsoft",),
+    "granted": ("hereby",),
+    "notice": ("permission",),
+    "forms": ("binary",),
+    "retain": ("must",),
+    "reproduce": ("must",),
+    "promote": ("or",),
+    "materials": ("advertising",),
+    "advertising": ("in",),
+    "medium": ("any",),
+    "perl": ("as",),
+    "liable": ("held",),
+    "evil": ("not",),
+    "domain": ("public",),
+    "neighboring": ("or",),
+    "zero": ("publicdomain",),
+    "mark": ("publicdomain",),
 }
 KEYWORDS = ("licen", "spdx", "gpl", "unlicense", "wtfpl", "creative", "cc0")
 BETWEEN = r"[^0-9a-z\x{80}-\x{10FFFF}]+"
 CC_GATE = f"cc{BETWEEN}by"
-#: Words on either side of an anchor; no signature is longer.
+#: Words on either side of an anchor; the first anchor of every signature is that near to both of its ends.
 REACH = 20
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -117,15 +135,23 @@ def _spaced(pattern: str) -> str:
 
 
 def signature_rules() -> list[dict]:
-    """All rules: every statement around every name, highest priority first."""
-    rules = []
+    """All rules, highest priority first: sentences of license texts, every statement around every name, names on their own."""
+
+    def alone(signatures: Sequence[tuple[str, str, str]], priority: int, weight: float) -> list[dict]:
+        return [
+            {"label": label, "need": need, "pattern": _spaced(pattern), "priority": priority, "weight": weight}
+            for label, need, pattern in signatures
+        ]
+
+    rules = alone(BODIES, BODY_PRIORITY, BODY_WEIGHT)
     for priority, weight, statement in STATEMENTS:
         for label, need, name in LICENSE_NAMES:
             if statement == "{name}" and len(name.replace("(?:gnu )?", "").split("(?:")[0].split()) < BARE_NAME_WORDS:
                 continue
             pattern = _spaced(statement.replace("{name}", f"(?:{name})"))
             rules.append({"label": label, "need": need, "pattern": pattern, "priority": priority, "weight": weight})
-    return rules
+    rules += alone(NAMES, NAME_PRIORITY, NAME_WEIGHT)
+    return sorted(rules, key=lambda rule: -rule["priority"])
 
 
 RULE_TYPE = "array<struct<label:string,need:string,pattern:string,priority:int,weight:double>>"
@@ -178,10 +204,11 @@ def _detections(words: Column, rules: Column) -> Column:
 
     def is_anchor(i: Column) -> Column:
         word = F.get(words, i)
-        anchor = word.startswith(ANCHOR_START) | word.isin(*ANCHORS)
+        pair = F.lit(False)
         for following, firsts in ANCHOR_PAIRS.items():
-            anchor = anchor | (word.isin(*firsts) & F.get(words, i + 1).eqNullSafe(following))
-        return anchor
+            pair = pair | (word.isin(*firsts) & F.get(words, i + 1).eqNullSafe(following))
+        first_of_pair = word.isin(*sorted({first for firsts in ANCHOR_PAIRS.values() for first in firsts}))
+        return word.startswith(ANCHOR_START) | word.isin(*ANCHORS) | (first_of_pair & pair)
 
     def around(anchor: Column) -> Column:
         low = F.greatest(anchor - REACH, F.lit(0))
