@@ -21,8 +21,8 @@ CAPACITY = 2048
 END_ID = 1
 #: A piece goes to its class uncut where a full bin of its like leaves at most this share of padding.
 TOLERANCE = 1 / 64
-#: Words whose ids a Python worker remembers before it starts anew; a worker that goes on to other stages keeps them, about 50 MB.
-REMEMBERED_WORDS = 250_000
+#: Words whose ids a Python worker remembers before it starts anew; a worker that goes on to other stages keeps them, about 100 MB.
+REMEMBERED_WORDS = 450_000
 
 #: Letters of one code point each whose lower case is one as well; no sign of the second part starts a contraction.
 LATIN_LETTERS = "".join(chr(c) for c in range(0xC0, 0x100) if chr(c).isalpha())
