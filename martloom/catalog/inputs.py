@@ -12,6 +12,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from martloom.plans import columns as C
+from martloom.session import input_bytes
 
 GIVEN = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -40,6 +41,11 @@ def day_or_null(base: str, key: str, step: int, span: int, i: int) -> str:
     )
 
 
+# Tables the inputs repeat many times over, and the file bytes of one task's share of them: a small file is one split, which
+# would leave all repeated rows and their aggregates to one task.
+REPEATED = ("part", "customer", "supplier")
+SHARE_BYTES = 512 * 1024
+
 MASTER_OWN = "prod_id prod_nm prod_typ brnd_cd start_dt end_dt crt_dt updt_dt lst_lot_exprtn_dt lst_pblsh_dt cease_pblsh_dt".split()
 MASTER_TEXT = [c for c in C.PRODUCT_MASTER if c not in MASTER_OWN]
 EXPORT_OWN = ["trnsltd_dsply_nm__c", "prod_id__c", *C.EXPORT_PRODUCT_DATES]
@@ -334,12 +340,20 @@ class Inputs:
     def given(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))
 
+    def dealt(self, table: str) -> DataFrame:
+        """A given table, dealt to as many tasks as its size calls for once its rows are repeated."""
+        rows = self.given(table)
+        if table not in REPEATED:
+            return rows
+        shares = -(-input_bytes(self.spark, [self.path(table)]) // SHARE_BYTES)
+        return rows.repartition(shares) if shares > 1 else rows
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
             text = INPUTS[name]
             uses = sorted(set(_NAME.findall(text)) & set(INPUTS))
             frames = {u: self[u] for u in uses}
-            frames.update({g: self.given(g) for g in GIVEN if re.search(rf"\b(FROM|JOIN) {g}\b", text)})
+            frames.update({g: self.dealt(g) for g in GIVEN if re.search(rf"\b(FROM|JOIN) {g}\b", text)})
             spark_text = _EACH.sub(lambda m: f"explode(sequence(0, {int(m.group(1)) - 1}))", text)
             spark_text = spark_text.replace("{", "{{").replace("}", "}}")
             for name_used in frames:
