@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,8 +94,10 @@ def indication_tables(i: Inputs) -> indications.Tables:
     }
 
 
-def whole_feed(i: Inputs) -> DataFrame:
+def whole_feed(i: Inputs, master: Sequence[str] = products.PRODUCT_MASTER) -> DataFrame:
+    """The rows of the three feeds with those columns of the master."""
     t = product_tables(i)
+    t["prod"] = t["prod"].select([c for c in t["prod"].columns if c in ("prod_id", *master)])
     return products.union_feeds(
         [
             products.sample_feed(t, SINCE),
@@ -355,7 +357,7 @@ def date_reconcile(i: Inputs) -> DataFrame:
 
 @query("product_eligibility")
 def product_eligibility(i: Inputs) -> DataFrame:
-    rows = products.candidates(whole_feed(i), product_tables(i)).filter(products.eligible(RUN.as_of_date))
+    rows = products.candidates(whole_feed(i, products.MASTER_USED), product_tables(i)).filter(products.eligible(RUN.as_of_date))
     return rows.select("product_external_id", F.col("_replicated_id").alias("replicated_id"), "end_dt", "cease_pblsh_dt")
 
 
