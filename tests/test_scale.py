@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from martloom.catalog import inputs as catalog_inputs
 from martloom.catalog.inputs import Inputs
 from martloom.catalog.queries import QUERIES
+from martloom.sources import sinks
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -28,3 +29,25 @@ def test_eligibility_shuffles_no_descriptive_master_columns(spark, settings):
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
     shuffles = exchange_columns(QUERIES["product_eligibility"](Inputs(spark, SMALL)))
     assert shuffles and not any({"mtrl_nbr", "prod_nm"} & set(columns) for columns in shuffles)
+
+
+def test_an_export_shuffles_widths_to_find_its_files(spark):
+    placed = spark.range(10).select(
+        F.lit(0).alias("_export_part"), F.col("id").alias("_export_position"), F.lit(10).cast("long").alias("_export_width")
+    )
+    starts = sinks._cut_into_files(placed, 40)
+    assert sorted(tuple(r) for r in starts.collect()) == [(0, False, 0), (0, False, 3), (0, False, 6), (0, False, 9)]
+    assert all(set(columns) <= {"_export_part", "_export_position", "_export_width", "_export_wide", "_export_file", "min"} for columns in exchange_columns(starts))
+
+
+def test_value_lines_are_compared_where_they_are_made(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    for name in ("value_lines", "spend_export"):
+        shuffles = exchange_columns(QUERIES[name](Inputs(spark, SMALL)))
+        assert not any({"value_amount", "val_typ_cd"} & set(columns) for columns in shuffles), "lines are not shuffled"
+
+
+def test_day_values_are_shuffled_once(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    shuffles = exchange_columns(QUERIES["spend_value_stage"](Inputs(spark, SMALL)))
+    assert sum("meeting_day_date_merc__c" in columns for columns in shuffles) == 1
