@@ -51,3 +51,10 @@ def test_day_values_are_shuffled_once(spark, settings):
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
     shuffles = exchange_columns(QUERIES["spend_value_stage"](Inputs(spark, SMALL)))
     assert sum("meeting_day_date_merc__c" in columns for columns in shuffles) == 1
+
+
+def test_many_small_partitions_do_not_leave_as_many_files(spark, tmp_path):
+    df = spark.range(2_000).repartition(40).select("id", F.lit("x" * 10).alias("t"))
+    sinks.export_delimited(df, [f"{tmp_path}/out"], file_bytes=1_000_000)
+    assert len(list(tmp_path.glob("out/part-*"))) == 1
+    assert sinks.read_delimited(spark, f"{tmp_path}/out", ["id", "t"]).distinct().count() == 2_000
