@@ -13,6 +13,8 @@ rest of the master joins the rows that were chosen.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,6 +93,11 @@ def _of_types(types: Sequence[str]) -> Column:
     return F.col("prod_typ").isin(list(types))
 
 
+def _linked_to(bridge: DataFrame, master: DataFrame, types: Sequence[str]) -> DataFrame:
+    """Bridge rows of products that have a master row of these types."""
+    return bridge.join(master.filter(_of_types(types)).select("prod_id"), "prod_id", "left_semi")
+
+
 def _sample_links(t: Tables, bridge: DataFrame, countries: DataFrame) -> DataFrame:
     brands = bridge.filter(F.col("grp_prps_cd") == BRAND).withColumnRenamed("prod_grp_id", "prod_grp_prnt_id")
     return brands.join(countries, "prod_id")
@@ -167,11 +174,12 @@ def brand_feed(t: Tables, since: str, types: Sequence[str]) -> DataFrame:
 def all_feeds(t: Tables, since: str, types: Sequence[str], sample_types: Sequence[str] = SAMPLE_TYPES) -> DataFrame:
     """The rows of the sample, market and brand feeds together.
 
-    The links of the feeds are one narrow frame with a mark for the sample feed, and the master joins it once: its type
-    is tested against the mark. Bridge, countries and parents are the same plans in each feed.
+    The links of the feeds, of products of their types, are one narrow frame with a mark for the sample feed, and the master
+    joins it once: its type is tested against the mark. Bridge, countries and parents are the same plans in each feed.
     """
     bridge, countries, parents = _bridge(t), _alternate_and_translated(t), _parents(t)
-    links = [_sample_links(t, bridge, countries), _market_links(t, bridge, countries, parents), _brand_links(t, bridge, parents)]
+    sampled, valued = _linked_to(bridge, t["prod"], sample_types), _linked_to(bridge, t["prod"], types)
+    links = [_sample_links(t, sampled, countries), _market_links(t, valued, countries, parents), _brand_links(t, valued, parents)]
     columns = ["prod_id", *FEED_LINKS, *[c for c in PUBLISHED if c not in FEED_LINKS]]
     marked = []
     for number, frame in enumerate(links):
@@ -246,22 +254,49 @@ def expand_feed(feed: DataFrame, params: DataFrame) -> DataFrame:
     )
 
 
+#: Tables of the feeds and lookups, and the columns that agree with the parameters of their country where a row can match.
+PARAMETERED = {
+    "translations": ["cntry_cd", "dialect_nm"],
+    "alternates": ["cntry_cd", "altrnt_id_type_cd"],
+    "group_translations": ["cntry_cd", "dialect_nm"],
+    "replicated_groups": ["cntry_cd"],
+    "replicated_products": ["cntry_cd"],
+}
+
+
+def with_parameters(t: Tables, names: Sequence[str] = tuple(PARAMETERED), by_country: bool = False) -> dict[str, DataFrame]:
+    """The tables with only those rows that rows with parameters can match, by country alone if asked for.
+
+    The parameters are few, so this leaves out rows before they travel. Feeds compare publications over all dialects and
+    types of a country, so they are narrowed by country.
+    """
+    kept = {}
+    for name in names:
+        columns = ["cntry_cd"] if by_country else PARAMETERED[name]
+        wanted = t["params"].select(*[F.col(c).alias(f"_wanted_{c}") for c in columns]).distinct()
+        match = reduce(and_, [F.col(c) == F.col(f"_wanted_{c}") for c in columns])
+        # With the hint no table is ever dealt by country, which a join by product and country could take over.
+        kept[name] = t[name].join(F.broadcast(wanted), match, "left_semi")
+    return {**t, **kept}
+
+
+#: Tables whose country becomes that of a feed row; brands take a group link of any country.
+FEED_COUNTRIES = ("translations", "alternates", "group_translations")
+
+LOOKED_UP = """
+trnsltd_dsply_nm trnsltd_prod_desc_txt start_dt_trn end_dt_trn cease_pblsh_dt_trn sfdc_id_prod_grp end_dt_pg_trn
+cease_pblsh_dt_pg_trn altrnt_id altrnt_id_type_cd__c start_dt_alt end_dt_alt cease_pblsh_dt_alt
+""".split()
+
+
 def add_lookups(feed: DataFrame, t: Tables) -> DataFrame:
-    """Translation, replicated group, group translation dates and alternate id of each row."""
+    """Translation, replicated group, group translation dates and alternate id of each row.
+
+    Lookups by group come first; then the rows are dealt once, by product, for all that are by product.
+    """
+    t = with_parameters(t)
     df = lookup(
         feed,
-        t["translations"],
-        {"prod_id": "prod_id", "cntry_cd": "cntry_cd", "dialect_nm": "dialect_nm"},
-        {
-            "trnsltd_dsply_nm": "trnsltd_dsply_nm",
-            "trnsltd_prod_desc_txt": "trnsltd_prod_desc_txt",
-            "start_dt": "start_dt_trn",
-            "end_dt": "end_dt_trn",
-            "cease_pblsh_dt": "cease_pblsh_dt_trn",
-        },
-    )
-    df = lookup(
-        df,
         t["replicated_groups"],
         {"prod_grp_prnt_id": "prod_grp_id", "cntry_cd": "cntry_cd"},
         {"sfdc_id": "sfdc_id_prod_grp"},
@@ -272,9 +307,21 @@ def add_lookups(feed: DataFrame, t: Tables) -> DataFrame:
         {"prod_grp_prnt_id": "prod_grp_id", "cntry_cd": "cntry_cd", "dialect_nm": "dialect_nm"},
         {"end_dt": "end_dt_pg_trn", "cease_pblsh_dt": "cease_pblsh_dt_pg_trn"},
     )
+    df = lookup(
+        df.repartition("prod_id"),
+        t["translations"],
+        {"prod_id": "prod_id", "cntry_cd": "cntry_cd", "dialect_nm": "dialect_nm"},
+        {
+            "trnsltd_dsply_nm": "trnsltd_dsply_nm",
+            "trnsltd_prod_desc_txt": "trnsltd_prod_desc_txt",
+            "start_dt": "start_dt_trn",
+            "end_dt": "end_dt_trn",
+            "cease_pblsh_dt": "cease_pblsh_dt_trn",
+        },
+    )
     # The type found replaces the type asked for: a product without alternate id has no type either.
     alternates = t["alternates"].withColumn("_found_type", F.col("altrnt_id_type_cd"))
-    return lookup(
+    df = lookup(
         df,
         alternates,
         {"prod_id": "prod_id", "cntry_cd": "cntry_cd", "_wanted_type": "altrnt_id_type_cd"},
@@ -285,7 +332,8 @@ def add_lookups(feed: DataFrame, t: Tables) -> DataFrame:
             "end_dt": "end_dt_alt",
             "cease_pblsh_dt": "cease_pblsh_dt_alt",
         },
-    ).drop("_wanted_type")
+    )
+    return df.select(*[c for c in feed.columns if c != "_wanted_type"], *LOOKED_UP)
 
 
 def reconcile_dates(df: DataFrame) -> DataFrame:
@@ -344,17 +392,20 @@ def eligible(as_of: Column) -> Column:
     return (F.col("_replicated_id").isNotNull() | valid) & complete()
 
 
-def candidates(feed: DataFrame, t: Tables) -> DataFrame:
-    """One row per external id, reconciled, with the replicated id where there is one."""
-    df = reconcile_dates(add_lookups(expand_feed(feed, t["params"]), t))
+def candidates(feed: DataFrame, t: Tables, complete_only: bool = False) -> DataFrame:
+    """One row per external id, reconciled, with the replicated id where there is one.
+
+    Complete rows are picked before others, so ``complete_only`` leaves out just the external ids without any.
+    """
+    df = add_lookups(expand_feed(feed, t["params"]), t)
+    df = reconcile_dates(df.filter(complete()) if complete_only else df)
     df = df.withColumn("product_external_id", product_external_id())
     staged = [c for c in df.columns if c in STAGED_PRODUCT or c == MASTER_KEY]
-    df = lookup(
-        df.select(staged),
-        t["replicated_products"].withColumn("_id", F.col("product_external_id")),
-        {"prod_id": "prod_id", "cntry_cd": "cntry_cd", "product_external_id": "product_external_id"},
-        {"_id": "_replicated_id"},
+    replicated = with_parameters(t)["replicated_products"].select(
+        F.col("prod_id").alias("_prod_id"), F.col("cntry_cd").alias("_cntry_cd"), F.col("product_external_id").alias("_replicated_id")
     )
+    known = [F.col("prod_id") == F.col("_prod_id"), F.col("cntry_cd") == F.col("_cntry_cd"), F.col("product_external_id") == F.col("_replicated_id")]
+    df = df.select(staged).join(replicated, known, "left").drop("_prod_id", "_cntry_cd")
     return first_per_key(df.withColumn(INCOMPLETE, ~complete()), ROW_KEY, (INCOMPLETE, *PICK_ORDER)).drop(INCOMPLETE)
 
 
@@ -392,7 +443,8 @@ def product_feed(t: Tables, since: str, own_type: str, run: RunContext) -> DataF
     """
     types = (COMPETITOR, own_type)
     master = t["prod"].select(PRODUCT_MASTER)
-    narrow = {**t, "prod": narrow_master(master)}
-    chosen = candidates(all_feeds(narrow, since, types), t).filter(eligible(run.as_of_date))
+    reached = with_parameters(t, FEED_COUNTRIES, by_country=True)
+    narrow = {**reached, "prod": narrow_master(master)}
+    chosen = candidates(all_feeds(narrow, since, types), t, complete_only=True).filter(eligible(run.as_of_date))
     wanted = master.filter(F.col("prod_typ").isin([*SAMPLE_TYPES, *types]))
     return audit_stamp(project(add_master(chosen, wanted), STAGED_PRODUCT), run)

@@ -23,6 +23,8 @@ SETTINGS = {
     "spark.sql.sources.fileCompressionFactor": "4.0",
     # Split a hot join partition even where a later operator could have reused the partitioning.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows that lie by product and country stay where they are for joins on these and more columns.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024

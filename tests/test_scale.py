@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from martloom.catalog import inputs as catalog_inputs
 from martloom.catalog.inputs import Inputs
 from martloom.catalog.queries import QUERIES
+from martloom.plans import products
 from martloom.sources import sinks
 
 SMALL = "/root/testdata/sf0.001"
@@ -58,3 +59,19 @@ def test_many_small_partitions_do_not_leave_as_many_files(spark, tmp_path):
     sinks.export_delimited(df, [f"{tmp_path}/out"], file_bytes=1_000_000)
     assert len(list(tmp_path.glob("out/part-*"))) == 1
     assert sinks.read_delimited(spark, f"{tmp_path}/out", ["id", "t"]).distinct().count() == 2_000
+
+
+def test_rows_are_dealt_by_product_once_for_its_lookups(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__requireAllClusterKeysForCoPartition="false")
+    for name in ("date_reconcile", "product_feed", "product_feed_touched"):
+        shuffles = exchange_columns(QUERIES[name](Inputs(spark, SMALL)))
+        assert not any({"start_dt_trn", "altrnt_id_type_cd__c"} & set(c) and "_wanted_type" in c for c in shuffles), name
+        assert not any({"trnsltd_dsply_nm", "altrnt_id"} <= set(c) and "min" not in c and "_incomplete" not in c for c in shuffles if "recordtype" not in c), name
+
+
+def test_only_rows_with_parameters_of_their_country_are_kept(spark):
+    params = spark.createDataFrame([("C1", "BRND", "EN", "T1"), ("C1", "MKTP", "EN", "T0"), (None, "BRND", "FR", "T1")], "cntry_cd string, grp_prps_cd string, dialect_nm string, altrnt_id_type_cd string")
+    found = spark.createDataFrame([(1, "C1", "EN"), (1, "C1", "EN"), (2, "C1", "FR"), (3, "C2", "EN"), (4, None, "FR")], "prod_id long, cntry_cd string, dialect_nm string")
+    t = {"params": params, "translations": found}
+    ids = lambda by_country: sorted(r["prod_id"] for r in products.with_parameters(t, ["translations"], by_country)["translations"].collect())
+    assert ids(False) == [1, 1] and ids(True) == [1, 1, 2]
