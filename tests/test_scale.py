@@ -75,3 +75,13 @@ def test_only_rows_with_parameters_of_their_country_are_kept(spark):
     t = {"params": params, "translations": found}
     ids = lambda by_country: sorted(r["prod_id"] for r in products.with_parameters(t, ["translations"], by_country)["translations"].collect())
     assert ids(False) == [1, 1] and ids(True) == [1, 1, 2]
+
+
+def test_spend_rows_travel_once_by_event_and_once_by_participant(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    for name in ("spend_export",):
+        shuffles = exchange_columns(QUERIES[name](Inputs(spark, SMALL)))
+        attendees = [c for c in shuffles if "copay_hotel_merc__c" in c or "_copay_hotel_merc__c" in c]
+        assert len(attendees) == 3 + 1, f"{name}: by meeting, by account, by event, by participant"
+        assert not any({"valuepaiddt", "_owner"} & set(c) for c in shuffles), f"{name}: rows joined with their days stay"
+        assert sum("owner_master_id_merc__c" in c and "id1" not in c for c in shuffles) == 1, f"{name}: events travel once"

@@ -184,3 +184,31 @@ def test_window_reaches_the_scan_in_text_mode(spark, settings):
     rules = spend.SpendRules(RULES.after, RULES.until, RULES.excluded_countries, RULES.statuses, window_mode="text")
     scan = next(line for line in planned(spend.event_stage(spark.read.parquet(stored), rules, RUN)).splitlines() if "FileScan" in line)
     assert "GreaterThan(Participant_ToV_Updated_Date_MERC__c" in scan and "EqualTo(Participant_ToV_Final_MERC__c,Yes)" in scan
+
+
+def test_rows_that_become_equal_are_staged_once(spark, rows):
+    """A participant of two meetings of one event, accounts of one name, and missing ids and events, each twice."""
+    several = landed(spark, C.LANDED_MEETING, *[meeting(n, **{"Event_Id_MERC__c": e}) for n, e in ((1, "E"), (2, "E"), (3, None), (3, None))])
+    people = landed(
+        spark,
+        C.LANDED_PARTICIPANT,
+        *[participant(1, m, Account_MERC__c=f"A{m}", CoPay_AODS_Hotel_MERC__c="5") for m in (1, 2, 3)],
+        *[participant(2, m, Id=None, Account_MERC__c="A1", CoPay_AODS_Hotel_MERC__c="6") for m in (1, 1, 2, 3)],
+        *[participant(3, 1, Id="", Account_MERC__c="A1", CoPay_AODS_Hotel_MERC__c="7") for _ in range(2)],
+    )
+    accounts = landed(spark, C.LANDED_ACCOUNT, *[{"Id": f"A{n}", "Name": "Ann"} for n in (1, 1, 2, 3)])
+    days = landed(spark, C.LANDED_DAY_VALUE, *[{"Id": d, "Meeting_Participant_MERC__c": p, "Meeting_Day_Date_MERC__c": "2020-01-11"} for d, p in (("D1", "P1"), ("D1", "P1"), ("D2", "P1"), ("D3", ""), ("D4", None))])
+    events = spend.event_stage(several, RULES, RUN)
+    attendees = spend.attendee_stage(people, several, accounts, RULES, RUN)
+    values = spend.day_value_stage(days, people, several, RULES, RUN)
+    assert attendees.columns[:4] == ["event_id_merc__c", "id", "meeting_participant_id_merc__c", "customer_id_glbl__c"]
+    assert rows(attendees, "event_id_merc__c", "id", "meeting_participant_id_merc__c") == [
+        (None, None, None), (None, "P1", "P1"), ("E", None, None), ("E", "", ""), ("E", "P1", "P1")
+    ]
+    assert rows(events, "event_id_merc__c") == [(None,), ("E",)]
+    assert rows(values, "id", "meeting_participant_merc__c") == [("D1", "P1"), ("D2", "P1"), ("D3", None)]
+    joined = spend.spend_join(events, attendees, values)
+    assert rows(joined, "event_id_merc__c1", "id1", "id") == [("E", None, None), ("E", "", None), ("E", "P1", "D1"), ("E", "P1", "D2")]
+    assert rows(spend.spend_export(joined, IDENTITY), "EventId", "ValueId", "ValueAmount") == [
+        (None, None, Decimal("6.00")), ("", "_COPAY_HTL", Decimal("7.00")), ("P1", "P1_COPAY_HTL", Decimal("5.00"))
+    ]
