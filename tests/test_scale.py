@@ -1,5 +1,8 @@
 """What bounds the work of one task, and what is not shuffled."""
 
+import time
+from pathlib import Path
+
 from helpers import exchange_columns, planned
 from pyspark.sql import functions as F
 
@@ -7,6 +10,7 @@ from martloom.catalog import inputs as catalog_inputs
 from martloom.catalog.inputs import Inputs
 from martloom.catalog.queries import QUERIES
 from martloom.plans import products
+from martloom.session import REMOVE_SHUFFLES
 from martloom.sources import sinks
 
 SMALL = "/root/testdata/sf0.001"
@@ -77,6 +81,38 @@ def test_only_rows_with_parameters_of_their_country_are_kept(spark):
     assert ids(False) == [1, 1] and ids(True) == [1, 1, 2]
 
 
+def test_stored_rows_meet_their_files_without_a_shuffle(spark, tmp_path, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    placed = spark.range(40).select(
+        F.concat(F.lit("r"), "id").alias("t"),
+        F.floor(F.col("id") / 20).cast("int").alias("_export_part"),
+        F.col("id").alias("_export_position"),
+        F.lit(10).cast("long").alias("_export_width"),
+    )
+    placed.write.parquet(f"{tmp_path}/stored")
+    stored = sinks._joined_parts(spark.read.parquet(f"{tmp_path}/stored"), 100)
+    starts = sinks._cut_into_files(stored, 100).collect()
+    numbered = sinks._numbered(stored, starts, 100)
+    assert exchange_columns(numbered) == [], "rows are shuffled by their file only"
+    assert numbered.groupBy("_export_file").count().count() == len(starts) > 2 and numbered.count() == 40
+
+
+def test_an_export_leaves_no_shuffle_files(spark, tmp_path):
+    jvm = spark.sparkContext._jvm
+    folders = [Path(d.getPath()) for d in jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    kept = lambda: {f.name for d in folders for f in d.rglob("shuffle_*.data")}
+    before = kept()
+    df = spark.range(3_000).repartition(5).groupBy((F.col("id") % 700).alias("k")).agg(F.count("*").alias("n"))
+    sinks.export_delimited(df, [f"{tmp_path}/one", f"{tmp_path}/two"], file_bytes=2_000)
+    until = time.time() + 20
+    while kept() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not kept() - before
+    assert spark.conf.get(REMOVE_SHUFFLES) == "false", "the setting is as it was"
+    assert [sinks.read_delimited(spark, f"{tmp_path}/{t}", ["k", "n"]).count() for t in ("one", "two")] == [700, 700]
+    assert df.count() == 700, "the query can run again"
+
+
 def test_spend_rows_travel_once_by_event_and_once_by_participant(spark, settings):
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
     for name in ("spend_export",):
