@@ -115,7 +115,7 @@ def test_an_export_leaves_no_shuffle_files(spark, tmp_path):
 
 def test_spend_rows_travel_once_by_event_and_once_by_participant(spark, settings):
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
-    for name in ("spend_export",):
+    for name in ("spend_export", "value_lines"):
         shuffles = exchange_columns(QUERIES[name](Inputs(spark, SMALL)))
         attendees = [c for c in shuffles if "copay_hotel_merc__c" in c or "_copay_hotel_merc__c" in c]
         assert len(attendees) == 3 + 1, f"{name}: by meeting, by account, by event, by participant"
